@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 
 def exact_percentiles(
-    df: DataFrame, wanted: Mapping[str, tuple[str, float]], ranges: int = 256
+    df: DataFrame, wanted: Mapping[str, tuple[str, float]], blocks: int = 16
 ) -> DataFrame:
     """One row with a double per entry of ``wanted`` (``name -> (column, p)``).
 
@@ -19,7 +19,7 @@ def exact_percentiles(
     The built-in ``percentile_disc`` merges one map of all distinct values in a
     single task. Here the columns become one distributed histogram: a hot value
     is combined before the shuffle, and the wanted rank is located first among
-    ``ranges`` value ranges (a few rows per column), then inside one range.
+    ``blocks ** 2`` value ranges (a few rows per column), then inside one range.
     The split points only balance the ranges; the counts are exact.
     """
     columns = sorted({column for column, _ in wanted.values()})
@@ -39,43 +39,61 @@ def exact_percentiles(
         .agg(F.count("*").alias("n"))
     )
 
-    # One row per named column, each with ranges - 1 doubles: the broadcast
-    # does not grow with the data.
+    # One row per named column, each with under blocks ** 2 doubles: the
+    # broadcast does not grow with the data.
+    ranges = blocks**2
     steps = [i / ranges for i in range(1, ranges)]
     splits = histogram.groupBy("column").agg(
         F.percentile_approx("value", steps, 20 * ranges).alias("splits"),
         F.sum("n").alias("total"),
     )
-    ranged = histogram.join(F.broadcast(splits), "column").withColumn(
-        "range", F.size(F.filter("splits", lambda split: split < F.col("value")))
+    ends = F.array(*[F.element_at("splits", i * blocks) for i in range(1, blocks)])
+    ranged = (
+        histogram.join(F.broadcast(splits.withColumn("ends", ends)), "column")
+        .withColumn("block", _passed(F.col("ends")))
+        .withColumn(
+            "range",
+            F.col("block") * blocks
+            + _passed(F.slice("splits", F.col("block") * blocks + 1, F.lit(blocks - 1))),
+        )
     )
 
-    # At most `ranges` rows per column reach this window.
+    # At most blocks ** 2 rows per column reach this window.
     running = Window.partitionBy("column").orderBy("range")
-    range_counts = ranged.groupBy("column", "range").agg(
-        F.sum("n").alias("n"), F.max("total").alias("total")
-    )
     target = (
-        range_counts.withColumn("upto", F.sum("n").over(running))
+        ranged.groupBy("column", "range")
+        .agg(
+            F.sum("n").alias("n"),
+            F.max("total").alias("total"),
+            F.min("value").alias("low"),
+            F.max("value").alias("high"),
+        )
+        .withColumn("upto", F.sum("n").over(running))
+        .withColumn("before", F.col("upto") - F.col("n"))
         .select("*", F.explode(_asked(wanted)).alias("ask"))
-        .select("column", "range", "n", "upto", "ask.name", _rank().alias("rank"))
-        .filter((F.col("upto") >= F.col("rank")) & (F.col("upto") - F.col("n") < F.col("rank")))
-        .select("column", "range", "name", "rank", (F.col("upto") - F.col("n")).alias("before"))
+        .withColumn("rank", F.greatest(F.ceil(F.col("ask.p") * F.col("total")), F.lit(1)))
+        .filter((F.col("upto") >= F.col("rank")) & (F.col("before") < F.col("rank")))
+        .select("column", "low", "high", "before", "rank", "ask.name")
     )
 
     # `target` has one row per entry of `wanted`; each window sees one range.
     inside = Window.partitionBy("name").orderBy("value")
     found = (
-        ranged.select("column", "range", "value", "n")
-        .join(F.broadcast(target), ["column", "range"])
-        .withColumn("reached", F.col("before") + F.sum("n").over(inside))
-        .filter(F.col("reached") >= F.col("rank"))
+        histogram.join(F.broadcast(target), "column")
+        .filter(F.col("value").between(F.col("low"), F.col("high")))
+        .withColumn("upto", F.col("before") + F.sum("n").over(inside))
+        .filter(F.col("upto") >= F.col("rank"))
     )
     return found.agg(
         *[F.min(F.when(F.col("name") == name, F.col("value"))).alias(name) for name in wanted]
     )
 
 
+def _passed(splits: Column) -> Column:
+    """How many split points lie below the row's value."""
+    return F.size(F.filter(splits, lambda split: split < F.col("value")))
+
+
 def _asked(wanted: Mapping[str, tuple[str, float]]) -> Column:
     """The entries of ``wanted`` that concern the row's column."""
     entries = F.array(
@@ -90,6 +108,3 @@ def _asked(wanted: Mapping[str, tuple[str, float]]) -> Column:
     )
     return F.filter(entries, lambda entry: entry["column"] == F.col("column"))
 
-
-def _rank() -> Column:
-    return F.greatest(F.ceil(F.col("ask.p") * F.col("total")), F.lit(1))

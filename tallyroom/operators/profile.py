@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from functools import reduce
 from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyroom.functions.numbers import rounded
 from tallyroom.functions.text import case_style
@@ -56,47 +57,77 @@ def list_tables(spark: SparkSession, database: str) -> DataFrame:
     )
 
 
+def _per_column(
+    df: DataFrame, entry: Callable[[T.StructField, Column], list[Column]], **more: Column
+) -> DataFrame:
+    """One row per column, from one pass over the table.
+
+    ``entry`` builds a column's row from its field and its non-NULL count; it
+    may use ``rows``, the table's length, and the aggregates in ``more``.
+    """
+    totals = df.agg(
+        F.count("*").alias("rows"),
+        *[F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(df.columns)],
+        *[value.alias(name) for name, value in more.items()],
+    )
+    rows = [
+        F.struct(*entry(field, F.col(f"n{i}"))) for i, field in enumerate(df.schema.fields)
+    ]
+    return totals.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
 def column_catalogue(df: DataFrame, table_name: str) -> DataFrame:
     """Name, type and key flag of every column.
 
     Parquet declares no constraints, so a column counts as a key when it has no
-    NULL and no repeated value. All columns share one shuffle of (column,
-    value) counts; repeated values collapse before it.
+    NULL and no repeated value. One pass first rules out the columns that have
+    a NULL, or whole numbers or days in a range smaller than the table, which
+    must repeat. The rest share one shuffle of (column, value) counts.
     """
-    spark = df.sparkSession
-    listed = spark.createDataFrame(
-        [(table_name, f.name, f.dataType.simpleString()) for f in df.schema.fields],
-        "table_name string, column_name string, data_type string",
-    )
+    spans = {
+        f"span_{f.name}": _span(f) for f in df.schema.fields if _span(f) is not None
+    }
+
+    def row(field: T.StructField, filled: Column) -> list[Column]:
+        possible = filled == F.col("rows")
+        if f"span_{field.name}" in spans:
+            # An empty table has no span, and every column of it is a key.
+            roomy = F.col(f"span_{field.name}") >= F.col("rows")
+            possible = possible & F.coalesce(roomy, F.lit(True))
+        return [
+            F.lit(field.name).alias("column_name"),
+            F.lit(field.dataType.simpleString()).alias("data_type"),
+            possible.alias("possible"),
+        ]
+
+    # One row per column of the table: the broadcast does not grow with it.
+    checked = _per_column(df, row, **spans)
     texts = df.select([F.col(c).cast("string").alias(c) for c in df.columns])
     repeats = (
         texts.unpivot([], df.columns, "column_name", "value")
+        .join(F.broadcast(checked.filter("possible")), "column_name", "left_semi")
         .groupBy("column_name", "value")
         .agg(F.count("*").alias("n"))
         .groupBy("column_name")
-        .agg(
-            (F.max("n") == 1).alias("unique"),
-            F.bool_and(F.col("value").isNotNull()).alias("complete"),
-        )
+        .agg((F.max("n") == 1).alias("unique"))
     )
-    return listed.join(repeats, "column_name", "left").select(
-        "table_name",
+    return checked.join(repeats, "column_name", "left").select(
+        F.lit(table_name).alias("table_name"),
         "column_name",
         "data_type",
-        F.coalesce(F.col("unique") & F.col("complete"), F.lit(True)).alias("is_key"),
+        F.coalesce("unique", "possible").alias("is_key"),
     )
 
 
-def _per_column(df: DataFrame, entry) -> DataFrame:
-    """One row per column, from one pass over the table."""
-    totals = df.agg(
-        F.count("*").alias("rows"),
-        *[F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(df.columns)],
-    )
-    rows = [
-        F.struct(*entry(field, F.col(f"n{i}"))) for i, field in enumerate(df.schema.fields)
-    ]
-    return totals.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+def _span(field: T.StructField) -> Column | None:
+    """How many different values a column's range has room for, if countable."""
+    low, high = F.min(field.name), F.max(field.name)
+    if isinstance(field.dataType, T.IntegralType):
+        wide = "decimal(38,0)"
+        return high.cast(wide) - low.cast(wide) + 1
+    if isinstance(field.dataType, T.DateType):
+        return F.datediff(high, low) + 1
+    return None
 
 
 def frame_info(df: DataFrame) -> DataFrame:

@@ -7,14 +7,15 @@ summary), the SQL here takes the long way of separate subqueries and joins.
 from __future__ import annotations
 
 import re
+from collections.abc import Mapping
 
 from tallyroom.sources.tables import TABLES
 from tallyroom.sources.view_sql import VIEW_SQL, in_duckdb
 
 
-def with_views(body: str, **steps: str) -> str:
+def with_steps(body: str, views: Mapping[str, str]) -> str:
     """Prefix ``body`` with the views and the named steps it mentions."""
-    known = {**{k: in_duckdb(s) for k, s in VIEW_SQL.items()}, **STEPS, **steps}
+    known = {**{k: in_duckdb(s) for k, s in views.items()}, **STEPS}
     used: list[str] = []
 
     def visit(text: str) -> None:
@@ -134,7 +135,36 @@ STEPS: dict[str, str] = {
                        when days_exposition >= 31 then 'quarter'
                        when days_exposition >= 1 then 'month' end as seg
         from kept_ads""",
+    "listed_months": """
+        select m, n, rank() over (order by n desc) as r from (
+            select cast(month(first_day_exposition) as int) as m, count(*) as n
+            from kept_ads group by all) a""",
+    "delisted_months": """
+        select m, n, rank() over (order by n desc) as r from (
+            select cast(month(first_day_exposition + days_exposition) as int) as m,
+                   count(*) as n
+            from kept_ads where days_exposition is not null group by all) a""",
+    "priced_months": """
+        select cast(month(first_day_exposition) as int) as m, count(*) as n,
+               avg(last_price / total_area) as per_sqm, avg(total_area) as area
+        from kept_ads join kept_flats using (id) group by all""",
     "real_buys": "select * from g_events where amount <> 0",
+    "race_buys": """
+        select race, b.id, b.amount, u.payer from real_buys b
+        join g_users u on u.id = b.id join g_race using (race_id)""",
+    "race_members": """
+        select race, count(distinct id) as total_users
+        from g_users join g_race using (race_id) group by race""",
+    "race_customers": """
+        select race, count(distinct id) as total_customers, count(*) as total_events
+        from race_buys group by race""",
+    "race_payers": """
+        select race, count(distinct id) as total_payers
+        from race_buys where payer = 1 group by race""",
+    "race_buyers": """
+        select race, avg(mean) as mean_of_means, avg(spent) as mean_spent
+        from (select race, id, avg(amount) as mean, sum(amount) as spent
+              from race_buys group by race, id) per_buyer group by race""",
     "typed_games": f"""
         select row_id, name, platform, cast(year_of_release as int) as year_of_release, genre,
                na_sales, {_number('eu_sales')} as eu_sales, {_number('jp_sales')} as jp_sales,
@@ -256,28 +286,14 @@ def _realty() -> dict[str, str]:
                          count(*) filter (balcony > 0) as balconies
                   from part_rows join seg_rows using (id)
                   where seg is not null group by city_part, seg) g""",
-        "re_seasonality": with_views(
-            f"""
+        "re_seasonality": f"""
             select p.m as publication_month, p.n as publications_count,
                    cast(p.r as int) as publication_rank, d.n as removals_count,
                    cast(d.r as int) as removal_rank,
                    {half_up('q.per_sqm', 2)} as avg_price_per_sqm,
                    {half_up('q.area', 2)} as avg_total_area, q.n as transactions_count
-            from listed p left join delisted d on d.m = p.m left join priced q on q.m = p.m""",
-            listed="""
-            select m, n, rank() over (order by n desc) as r from (
-                select cast(month(first_day_exposition) as int) as m, count(*) as n
-                from kept_ads group by all) a""",
-            delisted="""
-            select m, n, rank() over (order by n desc) as r from (
-                select cast(month(first_day_exposition + days_exposition) as int) as m,
-                       count(*) as n
-                from kept_ads where days_exposition is not null group by all) a""",
-            priced="""
-            select cast(month(first_day_exposition) as int) as m, count(*) as n,
-                   avg(last_price / total_area) as per_sqm, avg(total_area) as area
-            from kept_ads join kept_flats using (id) group by all""",
-        ),
+            from listed_months p left join delisted_months d on d.m = p.m
+            left join priced_months q on q.m = p.m""",
         "re_city_ranking": f"""
             select city, count(*) as cnt_amount,
                    {half_up('100.0 * count(days_exposition) / count(*)', 2)} as share_sold,
@@ -344,8 +360,7 @@ def _game() -> dict[str, str]:
                    {half_up('count(distinct id) / cast((select count(distinct id) from real_buys) as double)', 8)}
                        as users_item_share
             from real_buys join g_items using (item_code) group by game_items""",
-        "game_race_report": with_views(
-            f"""
+        "game_race_report": f"""
             select race, total_users, total_customers, total_payers,
                    {half_up('total_customers / cast(total_users as double)', 8)} as customers_share,
                    {half_up('total_payers / cast(total_customers as double)', 8)} as payers_share,
@@ -353,25 +368,8 @@ def _game() -> dict[str, str]:
                    {half_up('mean_of_means', 2)} as avg_cost_one1,
                    {half_up('mean_spent / (total_events // total_customers)', 2)} as avg_cost_one2,
                    {half_up('mean_spent', 2)} as avg_cost_all
-            from members join customers using (race) join buyers using (race)
-            join payers using (race)""",
-            buys_by_race="""
-            select race, b.id, b.amount, u.payer from real_buys b
-            join g_users u on u.id = b.id join g_race using (race_id)""",
-            members="""
-            select race, count(distinct id) as total_users
-            from g_users join g_race using (race_id) group by race""",
-            customers="""
-            select race, count(distinct id) as total_customers, count(*) as total_events
-            from buys_by_race group by race""",
-            payers="""
-            select race, count(distinct id) as total_payers
-            from buys_by_race where payer = 1 group by race""",
-            buyers="""
-            select race, avg(mean) as mean_of_means, avg(spent) as mean_spent
-            from (select race, id, avg(amount) as mean, sum(amount) as spent
-                  from buys_by_race group by race, id) per_buyer group by race""",
-        ),
+            from race_members join race_customers using (race) join race_buyers using (race)
+            join race_payers using (race)""",
         "cat_tables": " union all ".join(
             f"select '{t}' as table_name, count(*) as row_count from {t}" for t in TABLES
         ),
@@ -494,8 +492,7 @@ def _sales() -> dict[str, str]:
     }
 
 
-def oracle_sql() -> dict[str, str]:
+def oracle_sql(views: Mapping[str, str] = VIEW_SQL) -> dict[str, str]:
+    """SQL by key; with no ``views`` it reads tables of the views' names."""
     bodies = {**_telecom(), **_realty(), **_game(), **_sales()}
-    return {
-        key: sql if sql.startswith("with ") else with_views(sql) for key, sql in bodies.items()
-    }
+    return {key: with_steps(sql, views) for key, sql in bodies.items()}

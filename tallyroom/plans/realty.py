@@ -43,8 +43,7 @@ def trimmed(flats: DataFrame) -> DataFrame:
         height > limit["ceiling_height_limit_l"]
     )
     return flats.filter(
-        F.col("id").isNotNull()
-        & below("total_area")
+        below("total_area")
         & (below("rooms") | F.col("rooms").isNull())
         & (below("balcony") | F.col("balcony").isNull())
         & (inside | height.isNull())
@@ -185,7 +184,8 @@ def seasonality(flats: DataFrame, ads: DataFrame) -> DataFrame:
 def city_ranking(flats: DataFrame, city: DataFrame, ads: DataFrame, k: int = 10) -> DataFrame:
     """The cities outside the capital with most listings; ties go by name."""
     days = F.col("days_exposition")
-    outside = with_region(trimmed(flats), city).filter(F.col("city_part") == REGION)
+    listed = trimmed(flats).filter(F.col("id").isNotNull())
+    outside = with_region(listed, city).filter(F.col("city_part") == REGION)
     return (
         outside.join(city, "city_id", "left")
         .join(ads, "id", "left")

@@ -142,9 +142,10 @@ def _game() -> dict[str, Callable[[Views], DataFrame]]:
 
 def load_through_csv(v: Views) -> DataFrame:
     """The sales table written as a CSV file to the shared folder and loaded from it."""
-    path = scratch_path(v.spark, "games-csv")
-    write_games_csv(with_file_header(v.raw_games), path)
-    return read_games_csv(v.spark, path, extra={"row_id": "bigint"})
+    games = v.raw_games
+    path = scratch_path(games.sparkSession, "games-csv")
+    write_games_csv(with_file_header(games), path)
+    return read_games_csv(games.sparkSession, path, extra={"row_id": "bigint"})
 
 
 def _sales() -> dict[str, Callable[[Views], DataFrame]]:
@@ -182,13 +183,17 @@ def _sales() -> dict[str, Callable[[Views], DataFrame]]:
     }
 
 
+def analyses() -> dict[str, Callable[[Views], DataFrame]]:
+    """By key, what to compute from an object with the views as attributes."""
+    return {**_telecom(), **_realty(), **_game(), **_sales()}
+
+
 def queries() -> dict[str, Query]:
     def over_views(analysis: Callable[[Views], DataFrame]) -> Query:
         return lambda spark, sf_dir: analysis(Views(spark, sf_dir))
 
-    on_views = {**_telecom(), **_realty(), **_game(), **_sales()}
     return {
-        **{key: over_views(analysis) for key, analysis in on_views.items()},
+        **{key: over_views(analysis) for key, analysis in analyses().items()},
         "cat_tables": lambda spark, sf_dir: profile.row_counts(
             {name: table(spark, sf_dir, name) for name in TABLES}
         ),

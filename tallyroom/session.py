@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -13,12 +14,14 @@ def build_session(master: str | None = None, **conf: str) -> SparkSession:
 
     Broadcasts are left to Catalyst and AQE, which compare the estimated and
     then the measured size with ``spark.sql.autoBroadcastJoinThreshold``;
-    beyond it joins shuffle, and AQE splits hot partitions.
+    beyond it joins shuffle, and AQE splits hot partitions, if need be at the
+    price of one more shuffle.
     """
     builder = (
         SparkSession.builder.appName("tallyroom")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
     )
@@ -29,14 +32,16 @@ def build_session(master: str | None = None, **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="tallyroom-")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the folder all executors share.
 
-    The cluster names the folder in ``spark.checkpoint.dir``; a local folder is
-    made only where that is unset, as in tests on one machine.
+    The cluster names the folder in ``spark.checkpoint.dir``; a local folder
+    stands in only where that is unset, as in tests on one machine.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        shared = tempfile.mkdtemp(prefix="tallyroom-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or _local_folder()
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"

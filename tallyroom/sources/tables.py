@@ -32,8 +32,6 @@ class Views:
     """Attribute access to the views of one data folder: ``v.tel_users``."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark = spark
-        self.sf_dir = sf_dir
         self._load = partial(view, spark, sf_dir)
 
     def __getattr__(self, name: str) -> DataFrame:
