@@ -190,13 +190,23 @@ def cardinality(df: DataFrame, folds: Mapping[str, str]) -> DataFrame:
     name, value = F.col("column_name"), F.col("value")
     lowered = [c for c, fold in folds.items() if fold == "lower"]
     folded = F.when(name.isin(lowered), F.lower(value)).otherwise(F.upper(value))
-    return (
+    spellings = (
         _distinct_pairs(df, list(folds))
         .filter(value.isNotNull())
         .groupBy("column_name", folded.alias("folded"))
         .agg(F.count("*").alias("n"))
-        .groupBy("column_name")
-        .agg(F.sum("n").alias("distinct_raw"), F.count("*").alias("distinct_folded"))
+    )
+
+    def counts(column: str) -> Column:
+        own = name == column
+        return F.struct(
+            F.lit(column).alias("column_name"),
+            F.coalesce(F.sum(F.when(own, F.col("n"))), F.lit(0)).alias("distinct_raw"),
+            F.count_if(own).alias("distinct_folded"),
+        )
+
+    return spellings.agg(F.array(*[counts(c) for c in folds]).alias("c")).select(
+        F.inline("c")
     )
 
 

@@ -226,9 +226,9 @@ def _telecom() -> dict[str, str]:
             select {half_up('(count(*) - count(churn_date)) / cast(count(*) as double)', 8)}
                    as share from tel_users""",
         "tel_multi_tariff_users": """
-            select user_id, count(*) as tariff_count
+            select user_id, count(tariff) as tariff_count
             from (select distinct user_id, tariff from tel_users where churn_date is null) d
-            group by user_id having count(*) > 1""",
+            group by user_id having count(tariff) > 1""",
         "tel_calls_null_rows": """
             select * from tel_calls where not (duration is not null and call_date is not null)""",
         "tel_call_duration_range": """
@@ -359,7 +359,8 @@ def _game() -> dict[str, str]:
                        as relative_count,
                    {half_up('count(distinct id) / cast((select count(distinct id) from real_buys) as double)', 8)}
                        as users_item_share
-            from real_buys join g_items using (item_code) group by game_items""",
+            from real_buys join g_items using (item_code)
+            where game_items is not null group by game_items""",
         "game_race_report": f"""
             select race, total_users, total_customers, total_payers,
                    {half_up('total_customers / cast(total_users as double)', 8)} as customers_share,
@@ -390,8 +391,10 @@ def _game() -> dict[str, str]:
             where not (date is not null and time is not null and amount is not null
                        and seller_id is not null)""",
         "game_events_null_breakdown": """
-            select count(date) as data_count, count(time) as data_time,
-                   count(amount) as data_amount, count(seller_id) as data_seller_id
+            select cast(sum(cast(date is not null as int)) as bigint) as data_count,
+                   cast(sum(cast(time is not null as int)) as bigint) as data_time,
+                   cast(sum(cast(amount is not null as int)) as bigint) as data_amount,
+                   cast(sum(cast(seller_id is not null as int)) as bigint) as data_seller_id
             from g_events
             where not (date is not null and time is not null and amount is not null
                        and seller_id is not null)""",
