@@ -42,12 +42,12 @@ def exact_percentiles(
     # One row per named column, each with under blocks ** 2 doubles: the
     # broadcast does not grow with the data.
     ranges = blocks**2
-    steps = [i / ranges for i in range(1, ranges)]
+    steps = ", ".join(f"{i / ranges}D" for i in range(1, ranges))
     splits = histogram.groupBy("column").agg(
-        F.percentile_approx("value", steps, 20 * ranges).alias("splits"),
+        F.expr(f"percentile_approx(value, array({steps}), {20 * ranges})").alias("splits"),
         F.sum("n").alias("total"),
     )
-    ends = F.array(*[F.element_at("splits", i * blocks) for i in range(1, blocks)])
+    ends = F.filter("splits", lambda split, i: i % blocks == blocks - 1)
     ranged = (
         histogram.join(F.broadcast(splits.withColumn("ends", ends)), "column")
         .withColumn("block", _passed(F.col("ends")))

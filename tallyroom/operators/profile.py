@@ -82,11 +82,10 @@ def column_catalogue(df: DataFrame, table_name: str) -> DataFrame:
     Parquet declares no constraints, so a column counts as a key when it has no
     NULL and no repeated value. One pass first rules out the columns that have
     a NULL, or whole numbers or days in a range smaller than the table, which
-    must repeat. The rest share one shuffle of (column, value) counts.
+    must repeat; the driver receives one flag per column. Only the columns left
+    are read again, in one shuffle of (column, value) counts.
     """
-    spans = {
-        f"span_{f.name}": _span(f) for f in df.schema.fields if _span(f) is not None
-    }
+    spans = {f"span_{f.name}": span for f in df.schema.fields if (span := _span(f)) is not None}
 
     def row(field: T.StructField, filled: Column) -> list[Column]:
         possible = filled == F.col("rows")
@@ -94,28 +93,26 @@ def column_catalogue(df: DataFrame, table_name: str) -> DataFrame:
             # An empty table has no span, and every column of it is a key.
             roomy = F.col(f"span_{field.name}") >= F.col("rows")
             possible = possible & F.coalesce(roomy, F.lit(True))
-        return [
-            F.lit(field.name).alias("column_name"),
-            F.lit(field.dataType.simpleString()).alias("data_type"),
-            possible.alias("possible"),
-        ]
+        return [F.lit(field.name).alias("name"), possible.alias("possible")]
 
-    # One row per column of the table: the broadcast does not grow with it.
-    checked = _per_column(df, row, **spans)
-    texts = df.select([F.col(c).cast("string").alias(c) for c in df.columns])
+    possible = {r.name: r.possible for r in _per_column(df, row, **spans).collect()}
+    listed = df.sparkSession.createDataFrame(
+        [(table_name, f.name, f.dataType.simpleString(), possible[f.name]) for f in df.schema],
+        "table_name string, column_name string, data_type string, is_key boolean",
+    )
+    left = [name for name in df.columns if possible[name]]
+    if not left:
+        return listed
+    texts = df.select([F.col(c).cast("string").alias(c) for c in left])
     repeats = (
-        texts.unpivot([], df.columns, "column_name", "value")
-        .join(F.broadcast(checked.filter("possible")), "column_name", "left_semi")
+        texts.unpivot([], left, "column_name", "value")
         .groupBy("column_name", "value")
         .agg(F.count("*").alias("n"))
         .groupBy("column_name")
         .agg((F.max("n") == 1).alias("unique"))
     )
-    return checked.join(repeats, "column_name", "left").select(
-        F.lit(table_name).alias("table_name"),
-        "column_name",
-        "data_type",
-        F.coalesce("unique", "possible").alias("is_key"),
+    return listed.join(repeats, "column_name", "left").select(
+        "table_name", "column_name", "data_type", F.coalesce("unique", "is_key").alias("is_key")
     )
 
 

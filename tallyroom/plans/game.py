@@ -80,14 +80,11 @@ def item_popularity(events: DataFrame, items: DataFrame) -> DataFrame:
     combined before it is shuffled. The totals cover purchases of unlisted
     items too.
     """
-    bought = (
-        events.filter(F.col("amount") != 0)
-        .groupBy("item_code", "id")
-        .agg(F.count("*").alias("n"))
-    )
+    sold = events.filter(F.col("amount") != 0)
+    bought = sold.groupBy("item_code", "id").agg(F.count("*").alias("n"))
     totals = (
-        bought.groupBy("id")
-        .agg(F.sum("n").alias("n"))
+        sold.groupBy("id")
+        .agg(F.count("*").alias("n"))
         .agg(F.struct(F.sum("n").alias("sales"), F.count("id").alias("buyers")).alias("total"))
         .scalar()
     )

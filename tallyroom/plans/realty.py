@@ -31,9 +31,13 @@ def limits(flats: DataFrame) -> DataFrame:
 
 
 def trimmed(flats: DataFrame) -> DataFrame:
-    """Flats strictly inside the limits. A missing value passes, but for the area."""
-    # One scalar subquery: every use below is the same plan, so it runs once.
-    limit = limits(flats).select(F.struct(*LIMITS).alias("limit")).scalar()
+    """Flats strictly inside the limits. A missing value passes, but for the area.
+
+    The limits are five numbers. Fetching them first makes them literals, so
+    the filter reaches the scan and the plan holds no copy of their subquery.
+    """
+    found = limits(flats).first().asDict()
+    limit = {name: F.lit(value).cast("double") for name, value in found.items()}
 
     def below(column: str) -> Column:
         return F.col(column) < limit[f"{column}_limit"]

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from functools import partial
+from functools import cache, partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,26 +15,29 @@ TABLES = (
     "conversations",
 )
 
+_SOURCE = re.compile(rf"\b(from|join) ({'|'.join(TABLES)})\b")
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One domain view as a lazy DataFrame; it registers nothing in the catalog."""
-    source = re.compile(rf"\b(from|join) ({'|'.join(TABLES)})\b")
-    sql = in_spark(VIEW_SQL[name])
-    used = {t: table(spark, sf_dir, t) for t in {m[2] for m in source.finditer(sql)}}
-    return spark.sql(source.sub(r"\1 {\2}", sql), **used)
-
-
 class Views:
-    """Attribute access to the views of one data folder: ``v.tel_users``."""
+    """The domain views of one data folder as attributes: ``v.tel_users``.
+
+    A view is a lazy DataFrame and registers nothing in the catalog. Tables and
+    views are opened once per instance.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self._load = partial(view, spark, sf_dir)
+        self._spark = spark
+        self._table = cache(partial(table, spark, sf_dir))
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in VIEW_SQL:
             raise AttributeError(name)
-        return self._load(name)
+        sql = in_spark(VIEW_SQL[name])
+        used = {t: self._table(t) for t in {m[2] for m in _SOURCE.finditer(sql)}}
+        opened = self._spark.sql(_SOURCE.sub(r"\1 {\2}", sql), **used)
+        setattr(self, name, opened)
+        return opened
