@@ -20,6 +20,11 @@ def rounded(value: Column, scale: int) -> Column:
     return F.round(value.cast("decimal(38,10)"), scale).cast("double")
 
 
+def rounded_even(value: Column, scale: int) -> Column:
+    """Round half to even, as pandas does."""
+    return F.bround(value.cast("decimal(38,10)"), scale).cast("double")
+
+
 def ratio(part: Column, whole: Column) -> Column:
     """Real division of two counts; an empty whole raises, as ANSI SQL does."""
     return part.cast("double") / whole.cast("double")

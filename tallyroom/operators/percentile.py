@@ -23,16 +23,9 @@ def exact_percentiles(
     The split points only balance the ranges; the counts are exact.
     """
     columns = sorted({column for column, _ in wanted.values()})
-    values = df.select(
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"))
-                    for c in columns
-                ]
-            )
-        ).alias("v")
-    ).select("v.*")
+    values = df.select([F.col(c).cast("double").alias(c) for c in columns]).unpivot(
+        [], columns, "column", "value"
+    )
     histogram = (
         values.filter(F.col("value").isNotNull())
         .groupBy("column", "value")

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyroom.functions.numbers import rounded
+from tallyroom.functions.numbers import rounded_even
 from tallyroom.functions.text import case_style
 
 
@@ -147,7 +147,7 @@ def null_profile(df: DataFrame) -> DataFrame:
         lambda field, filled: [
             F.lit(field.name).alias("column_name"),
             missing(filled).alias("missing"),
-            rounded(missing(filled) * 100.0 / F.nullif(F.col("rows"), F.lit(0)), 2).alias(
+            rounded_even(missing(filled) * 100.0 / F.nullif(F.col("rows"), F.lit(0)), 2).alias(
                 "missing_pct"
             ),
         ],

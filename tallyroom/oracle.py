@@ -447,8 +447,7 @@ def _sales() -> dict[str, str]:
         "nb_null_profile": _per_name(
             _GAMES,
             lambda c: f"'{c}' as column_name, count(*) - count({c}) as missing, "
-            + half_up(f"100.0 * (count(*) - count({c})) / count(*)", 2)
-            + " as missing_pct",
+            f"round_even(cast(count(*) - count({c}) as double) * 100 / count(*), 2) as missing_pct",
             "typed_games",
         ),
         "nb_score_sentinel": "select * from scored_games",
@@ -482,7 +481,7 @@ def _sales() -> dict[str, str]:
         ),
         "nb_removed_rows": f"""
             select loaded - kept as removed,
-                   {half_up('100.0 * (loaded - kept) / kept', 2)} as removed_pct
+                   round_even(cast(loaded - kept as double) * 100 / kept, 2) as removed_pct
             from (select (select count(*) from raw_games) as loaded,
                          (select count(*) from unique_games) as kept) c""",
         "nb_period": "select * from period_rows",

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyroom.functions.bands import band, half_open
-from tallyroom.functions.numbers import parse_number, rounded
+from tallyroom.functions.numbers import parse_number, rounded_even
 from tallyroom.functions.text import title_case
 from tallyroom.operators.duplicates import flag_later, keep_first
 from tallyroom.operators.impute import fill_group_mean
@@ -110,14 +110,12 @@ def removed_rows(games: DataFrame) -> DataFrame:
     groups = rows.groupBy(*[c for c in rows.columns if c != POSITION]).agg(
         F.count("*").alias("n")
     )
-    return (
-        groups.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("loaded"), F.count_if(has_year).alias("left"))
-        .select(
-            (F.col("loaded") - F.col("left")).alias("removed"),
-            rounded((F.col("loaded") - F.col("left")) * 100.0 / F.col("left"), 2).alias(
-                "removed_pct"
-            ),
-        )
+    removed = F.col("loaded") - F.col("left")
+    return groups.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("loaded"), F.count_if(has_year).alias("left")
+    ).select(
+        removed.alias("removed"),
+        rounded_even(removed * 100.0 / F.col("left"), 2).alias("removed_pct"),
     )
 
 

@@ -12,13 +12,14 @@ from tallyroom.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "local[8]",
         **{
             "spark.sql.shuffle.partitions": "8",
             "spark.driver.memory": "8g",
             "spark.sql.maxMetadataStringLength": "1000",
+            "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
         },
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyroom.functions.dates import month_start, plus_days
-from tallyroom.functions.numbers import parse_number, rounded
+from tallyroom.functions.numbers import parse_number, rounded, rounded_even
 from tallyroom.functions.text import case_style, snake_case_columns, title_case
 from tallyroom.plans.game_sales import critic_category, user_category
 from tallyroom.plans.realty import exposition_segment
@@ -67,6 +67,12 @@ def test_rounded_half_up(spark, value, scale, wanted):
     assert column(spark, [value], "double", lambda x: rounded(x, scale)) == [wanted]
 
 
+def test_rounded_even_like_pandas(spark):
+    values = [12.125, 12.375, 0.5, 1.005, -3.125, 100.0]
+    ours = column(spark, values, "double", lambda x: rounded_even(x, 2))
+    assert ours == pd.Series(values).round(2).tolist()
+
+
 def test_segments(spark):
     days = [None, 0, 1, 30, 31, 90, 91, 180, 181, 900]
     assert column(spark, days, "int", exposition_segment) == [
