@@ -40,14 +40,15 @@ def exact_percentiles(
         F.expr(f"percentile_approx(value, array({steps}), {20 * ranges})").alias("splits"),
         F.sum("n").alias("total"),
     )
-    ends = F.filter("splits", lambda split, i: i % blocks == blocks - 1)
+    # The range is found in two steps of blocks - 1 comparisons, written out so
+    # that they compile; a lambda over the array would be interpreted.
+    block = _passed(f"{blocks} * {{i}} + {blocks - 1}", blocks - 1)
     ranged = (
-        histogram.join(F.broadcast(splits.withColumn("ends", ends)), "column")
-        .withColumn("block", _passed(F.col("ends")))
+        histogram.join(F.broadcast(splits), "column")
+        .withColumn("block", F.expr(block))
         .withColumn(
             "range",
-            F.col("block") * blocks
-            + _passed(F.slice("splits", F.col("block") * blocks + 1, F.lit(blocks - 1))),
+            F.col("block") * blocks + F.expr(_passed(f"{blocks} * block + {{i}}", blocks - 1)),
         )
     )
 
@@ -82,9 +83,9 @@ def exact_percentiles(
     )
 
 
-def _passed(splits: Column) -> Column:
-    """How many split points lie below the row's value."""
-    return F.size(F.filter(splits, lambda split: split < F.col("value")))
+def _passed(index: str, steps: int) -> str:
+    """How many of the split points at ``index`` lie below the row's value."""
+    return " + ".join(f"int(splits[{index.format(i=i)}] < value)" for i in range(steps))
 
 
 def _asked(wanted: Mapping[str, tuple[str, float]]) -> Column:

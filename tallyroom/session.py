@@ -9,6 +9,16 @@ from functools import cache
 from pyspark.sql import SparkSession
 
 
+# Many small initial partitions, merged by AQE to about 128 MB: a shuffle of
+# terabytes stays in memory, a small one does not pay for empty tasks.
+CLUSTER = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8000",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+}
+
+
 def build_session(master: str | None = None, **conf: str) -> SparkSession:
     """A session with adaptive execution and a fixed time zone.
 
@@ -17,17 +27,18 @@ def build_session(master: str | None = None, **conf: str) -> SparkSession:
     beyond it joins shuffle, and AQE splits hot partitions, if need be at the
     price of one more shuffle.
     """
-    builder = (
-        SparkSession.builder.appName("tallyroom")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.ui.enabled", "false")
-    )
+    settings = {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.ui.enabled": "false",
+    }
+    local = master is not None and master.startswith("local")
+    builder = SparkSession.builder.appName("tallyroom")
     if master:
         builder = builder.master(master)
-    for key, value in conf.items():
+    for key, value in {**settings, **({} if local else CLUSTER), **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
