@@ -23,9 +23,9 @@ def exact_percentiles(
     The split points only balance the ranges; the counts are exact.
     """
     columns = sorted({column for column, _ in wanted.values()})
-    values = df.select([F.col(c).cast("double").alias(c) for c in columns]).unpivot(
-        [], columns, "column", "value"
-    )
+    # The column's number, not its name, keeps the shuffled rows at three longs.
+    doubles = [F.col(c).cast("double") for c in columns]
+    values = df.select(F.posexplode(F.array(*doubles)).alias("column", "value"))
     histogram = (
         values.filter(F.col("value").isNotNull())
         .groupBy("column", "value")
@@ -64,7 +64,7 @@ def exact_percentiles(
         )
         .withColumn("upto", F.sum("n").over(running))
         .withColumn("before", F.col("upto") - F.col("n"))
-        .select("*", F.explode(_asked(wanted)).alias("ask"))
+        .select("*", F.explode(_asked(wanted, columns)).alias("ask"))
         .withColumn("rank", F.greatest(F.ceil(F.col("ask.p") * F.col("total")), F.lit(1)))
         .filter((F.col("upto") >= F.col("rank")) & (F.col("before") < F.col("rank")))
         .select("column", "low", "high", "before", "rank", "ask.name")
@@ -88,17 +88,16 @@ def _passed(index: str, steps: int) -> str:
     return " + ".join(f"int(splits[{index.format(i=i)}] < value)" for i in range(steps))
 
 
-def _asked(wanted: Mapping[str, tuple[str, float]]) -> Column:
+def _asked(wanted: Mapping[str, tuple[str, float]], columns: list[str]) -> Column:
     """The entries of ``wanted`` that concern the row's column."""
     entries = F.array(
         *[
             F.struct(
                 F.lit(name).alias("name"),
-                F.lit(column).alias("column"),
+                F.lit(columns.index(column)).alias("column"),
                 F.lit(float(p)).alias("p"),
             )
             for name, (column, p) in wanted.items()
         ]
     )
     return F.filter(entries, lambda entry: entry["column"] == F.col("column"))
-

@@ -141,17 +141,17 @@ def frame_info(df: DataFrame) -> DataFrame:
 
 def null_profile(df: DataFrame) -> DataFrame:
     """Missing count and percentage per column."""
-    missing = lambda filled: F.col("rows") - filled
-    return _per_column(
-        df,
-        lambda field, filled: [
+
+    def row(field: T.StructField, filled: Column) -> list[Column]:
+        missing = F.col("rows") - filled
+        share = missing * 100.0 / F.nullif(F.col("rows"), F.lit(0))
+        return [
             F.lit(field.name).alias("column_name"),
-            missing(filled).alias("missing"),
-            rounded_even(missing(filled) * 100.0 / F.nullif(F.col("rows"), F.lit(0)), 2).alias(
-                "missing_pct"
-            ),
-        ],
-    )
+            missing.alias("missing"),
+            rounded_even(share, 2).alias("missing_pct"),
+        ]
+
+    return _per_column(df, row)
 
 
 def name_styles(df: DataFrame) -> DataFrame:

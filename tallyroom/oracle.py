@@ -328,6 +328,7 @@ def _game() -> dict[str, str]:
     def total(view: str) -> str:
         return f"(select count(*) from {view}) as total_rows"
 
+    all_buyers = "cast((select count(distinct id) from real_buys) as double)"
     event_order = ", ".join(f"{c} nulls last" for c in event_columns)
     return {
         "game_payer_share": f"""
@@ -357,8 +358,7 @@ def _game() -> dict[str, str]:
             select game_items, count(*) as absolute_count,
                    {half_up('count(*) / cast((select count(*) from real_buys) as double)', 8)}
                        as relative_count,
-                   {half_up('count(distinct id) / cast((select count(distinct id) from real_buys) as double)', 8)}
-                       as users_item_share
+                   {half_up(f'count(distinct id) / {all_buyers}', 8)} as users_item_share
             from real_buys join g_items using (item_code)
             where game_items is not null group by game_items""",
         "game_race_report": f"""
