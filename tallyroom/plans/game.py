@@ -13,6 +13,8 @@ from tallyroom.functions.numbers import ratio
 from tallyroom.operators.percentile import exact_percentiles
 from tallyroom.operators.profile import preview, with_total
 
+# The columns of users, and those checked for missing values; for
+# events also under which name their filled rows are counted.
 USER_COLUMNS = (
     "id", "tech_nickname", "class_id", "ch_id", "birthdate", "pers_gender",
     "registration_dt", "server", "race_id", "payer", "loc_id",

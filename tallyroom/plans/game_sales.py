@@ -18,10 +18,14 @@ from tallyroom.operators.profile import cardinality, distinct_values, most_frequ
 POSITION = "row_id"
 NUMERIC_TEXT = ("eu_sales", "jp_sales", "user_score")
 
-# The sentinel, the label of a missing text, the three grades.
+# The sentinel, the label of a missing text, the period, the three
+# grades, and where the middle and the high grade begin and the scale ends.
 NO_SCORE = -1.0
 NOT_STATED = "NS"
+FIRST_YEAR, LAST_YEAR = 2000, 2013
 HIGH, MIDDLE, LOW = "высокая оценка", "средняя оценка", "низкая оценка"
+USER_SCALE = (3, 8, 10)
+CRITIC_SCALE = (30, 80, 100)
 
 
 def fix_year(games: DataFrame) -> DataFrame:
@@ -119,27 +123,28 @@ def removed_rows(games: DataFrame) -> DataFrame:
     )
 
 
-def in_period(games: DataFrame, first: int = 2000, last: int = 2013) -> DataFrame:
+def in_period(games: DataFrame, first: int = FIRST_YEAR, last: int = LAST_YEAR) -> DataFrame:
     return games.filter(F.col("year_of_release").between(first, last))
 
 
-def _grade(score: Column, low: float, high: float, top: float) -> Column:
+def _grade(score: Column, scale: tuple[int, int, int]) -> Column:
     """No grade for anything outside the scale, the sentinel included."""
+    middle, high, top = scale
     return band(
         [
             (score.between(high, top), HIGH),
-            (half_open(score, low, high), MIDDLE),
-            (half_open(score, 0, low), LOW),
+            (half_open(score, middle, high), MIDDLE),
+            (half_open(score, 0, middle), LOW),
         ]
     )
 
 
 def user_category(score: Column) -> Column:
-    return _grade(score, 3, 8, 10)
+    return _grade(score, USER_SCALE)
 
 
 def critic_category(score: Column) -> Column:
-    return _grade(score, 30, 80, 100)
+    return _grade(score, CRITIC_SCALE)
 
 
 def period_games(games: DataFrame) -> DataFrame:

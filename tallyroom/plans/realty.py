@@ -1,6 +1,11 @@
 """Listing analysis: outlier trim, market segments, seasonality, city ranking.
 
-``id`` is the key of flats and of advertisements (at most one each).
+``id`` is the key of flats and of advertisements (at most one each). The reports
+take the flats already trimmed, so several of them share one search for limits:
+
+    kept = trimmed(flats)
+    segment_report(kept, city, ads)
+    seasonality(kept, ads)
 """
 
 from __future__ import annotations
@@ -17,6 +22,15 @@ from tallyroom.operators.percentile import exact_percentiles
 CAPITAL = "Санкт-Петербург"
 REGION = "Ленинградская область"
 
+# The segments by days on the market, both ends included.
+SEGMENTS = [
+    ("month", 1, 30),
+    ("quarter", 31, 90),
+    ("half year", 91, 180),
+    ("more than half year", 181, None),
+]
+
+# The percentiles that bound each column.
 LIMITS = {
     "total_area_limit": ("total_area", 0.99),
     "rooms_limit": ("rooms", 0.99),
@@ -54,10 +68,6 @@ def trimmed(flats: DataFrame) -> DataFrame:
     )
 
 
-def filtered_ids(flats: DataFrame) -> DataFrame:
-    return trimmed(flats).select("id")
-
-
 def with_region(flats: DataFrame, city: DataFrame) -> DataFrame:
     """Flats with the capital told from the rest; an unknown city is the rest."""
     capital = city.filter(F.col("city") == CAPITAL).select("city_id", F.lit(CAPITAL).alias("part"))
@@ -72,29 +82,27 @@ def exposition_segment(days: Column) -> Column:
     """How long a listing was up; NULL for unsold ones and for zero days."""
     return band(
         [
-            (days.between(1, 30), "month"),
-            (days.between(31, 90), "quarter"),
-            (days.between(91, 180), "half year"),
-            (days >= 181, "more than half year"),
+            (days.between(first, last) if last else days >= first, name)
+            for name, first, last in SEGMENTS
         ]
     )
 
 
-def segmented_ads(ads: DataFrame, flats: DataFrame) -> DataFrame:
-    """Advertisements of the trimmed flats with their segment."""
-    return ads.join(filtered_ids(flats), "id", "left_semi").withColumn(
+def segmented_ads(ads: DataFrame, kept: DataFrame) -> DataFrame:
+    """Advertisements of the given flats with their segment."""
+    return ads.join(kept, "id", "left_semi").withColumn(
         "seg", exposition_segment(F.col("days_exposition"))
     )
 
 
-def segment_report(flats: DataFrame, city: DataFrame, ads: DataFrame) -> DataFrame:
+def segment_report(kept: DataFrame, city: DataFrame, ads: DataFrame) -> DataFrame:
     """Region by segment: counts, share within the region, prices, sizes."""
     sold = ads.select("id", "last_price", exposition_segment(F.col("days_exposition")).alias("seg"))
     area, price = F.col("total_area"), F.col("last_price")
     # The window sees one row per region and segment.
     region = Window.partitionBy("city_part")
     return (
-        with_region(trimmed(flats), city)
+        with_region(kept, city)
         .join(sold.filter(F.col("seg").isNotNull()), "id")
         .groupBy("city_part", "seg")
         .agg(
@@ -117,17 +125,17 @@ def segment_report(flats: DataFrame, city: DataFrame, ads: DataFrame) -> DataFra
     )
 
 
-def seasonality(flats: DataFrame, ads: DataFrame) -> DataFrame:
+def seasonality(kept: DataFrame, ads: DataFrame) -> DataFrame:
     """Per month of publication: listings, removals, both ranked, and prices.
 
-    Trimmed listings are counted once per pair of publication and removal
+    Listings are counted once per pair of publication and removal
     month, at most 13 x 13 groups; months, ranks and means follow from those.
     """
     price_per_area = F.col("last_price") / F.col("total_area")
     published = F.month("first_day_exposition")
     removed = F.month(plus_days(F.col("first_day_exposition"), F.col("days_exposition")))
     pairs = (
-        ads.join(trimmed(flats).select("id", "total_area"), "id")
+        ads.join(kept.select("id", "total_area"), "id")
         .groupBy(
             published.alias("published"),
             removed.alias("removed"),
@@ -185,10 +193,10 @@ def seasonality(flats: DataFrame, ads: DataFrame) -> DataFrame:
     )
 
 
-def city_ranking(flats: DataFrame, city: DataFrame, ads: DataFrame, k: int = 10) -> DataFrame:
+def city_ranking(kept: DataFrame, city: DataFrame, ads: DataFrame, k: int = 10) -> DataFrame:
     """The cities outside the capital with most listings; ties go by name."""
     days = F.col("days_exposition")
-    listed = trimmed(flats).filter(F.col("id").isNotNull())
+    listed = kept.filter(F.col("id").isNotNull())
     outside = with_region(listed, city).filter(F.col("city_part") == REGION)
     return (
         outside.join(city, "city_id", "left")

@@ -93,12 +93,14 @@ def _realty() -> dict[str, Callable[[Views], DataFrame]]:
     r = realty
     return {
         "re_limits": lambda v: r.limits(v.re_flats),
-        "re_filtered_ids": lambda v: r.filtered_ids(v.re_flats),
+        "re_filtered_ids": lambda v: r.trimmed(v.re_flats).select("id"),
         "re_region_label": lambda v: r.with_region(v.re_flats, v.re_city),
-        "re_exposition_segment": lambda v: r.segmented_ads(v.re_ads, v.re_flats),
-        "re_segment_report": lambda v: r.segment_report(v.re_flats, v.re_city, v.re_ads),
-        "re_seasonality": lambda v: r.seasonality(v.re_flats, v.re_ads),
-        "re_city_ranking": lambda v: r.city_ranking(v.re_flats, v.re_city, v.re_ads),
+        "re_exposition_segment": lambda v: r.segmented_ads(v.re_ads, r.trimmed(v.re_flats)),
+        "re_segment_report": lambda v: r.segment_report(
+            r.trimmed(v.re_flats), v.re_city, v.re_ads
+        ),
+        "re_seasonality": lambda v: r.seasonality(r.trimmed(v.re_flats), v.re_ads),
+        "re_city_ranking": lambda v: r.city_ranking(r.trimmed(v.re_flats), v.re_city, v.re_ads),
     }
 
 

@@ -78,12 +78,17 @@ def test_race_report_joins_users_once(stored):
 
 
 def test_seasonality_reads_each_table_once_beside_the_limits(stored):
-    report = realty.seasonality(stored.re_flats, stored.re_ads)
-    plan = report._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("days_exposition#") > 0
+    report = realty.seasonality(realty.trimmed(stored.re_flats), stored.re_ads)
+    assert plan_of(report).count("/re_flats") == 1
     assert plan_of(report).count("/re_ads") == 1
 
 
+def test_limits_reach_the_scan(stored):
+    plan = plan_of(realty.trimmed(stored.re_flats))
+    assert "LessThan(total_area," in plan
+    assert "ubquery" not in plan
+
+
 def test_limits_share_one_histogram(stored):
     stats = game.amount_stats(stored.g_events)
     stats.collect()
