@@ -37,7 +37,7 @@ def exact_percentiles(
     ranges = blocks**2
     steps = ", ".join(f"{i / ranges}D" for i in range(1, ranges))
     splits = histogram.groupBy("column").agg(
-        F.expr(f"percentile_approx(value, array({steps}), {20 * ranges})").alias("splits"),
+        F.expr(f"percentile_approx(value, array({steps}), {8 * ranges})").alias("splits"),
         F.sum("n").alias("total"),
     )
     # The range is found in two steps of blocks - 1 comparisons, written out so
