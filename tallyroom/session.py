@@ -12,7 +12,7 @@ from pyspark.sql import SparkSession
 # Many small initial partitions, merged by AQE to about 128 MB: a shuffle of
 # terabytes stays in memory, a small one does not pay for empty tasks.
 CLUSTER = {
-    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "16000",
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "256m",
