@@ -7,7 +7,7 @@ from pathlib import Path
 import pytest
 from frames import in_spark, random_tables
 
-from tallyroom.plans import game, realty, telecom
+from tallyroom.plans import game, game_sales, realty, telecom
 from tallyroom.registry import queries
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -58,6 +58,19 @@ def stored(spark, tmp_path_factory):
     return frames
 
 
+@pytest.mark.parametrize(
+    ("report", "pushed"),
+    [
+        (lambda t: game.item_popularity(t.g_events, t.g_items), "Not(EqualTo(amount,0.0))"),
+        (lambda t: telecom.multi_tariff_users(t.tel_users), "IsNull(churn_date)"),
+        (lambda t: realty.segment_report(t.re_flats, t.re_city, t.re_ads), "IsNotNull(id)"),
+        (lambda t: game_sales.top_platforms(t.raw_games), "IsNotNull(year_of_release)"),
+    ],
+)
+def test_filters_reach_the_scan(stored, report, pushed):
+    assert pushed in plan_of(report(stored))
+
+
 def shuffles(df) -> int:
     return plan_of(df).count("Exchange hashpartitioning")
 

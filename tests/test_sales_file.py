@@ -125,6 +125,14 @@ def test_impute_like_pandas(games):
         assert plain([r[c] for r in got]) == pytest.approx(plain(df[c]), nan_ok=True)
 
 
+def test_nan_counts_as_missing(spark):
+    row = random_tables(1)["raw_games"][0]
+    rows = [(1, *row[1:3], float("nan"), *row[4:]), (2, *row[1:3], 2001.0, *row[4:])]
+    games = in_spark(spark, {"raw_games": rows}).raw_games
+    assert [r.row_id for r in game_sales.cleaned(games).collect()] == [2]
+    assert tuple(game_sales.removed_rows(games).first()) == (1, 100.0)
+
+
 def test_group_without_values_stays_missing(spark):
     df = spark.createDataFrame(
         [("a", 1, None), ("a", 1, None), ("b", 1, 2.0), ("b", 1, None), (None, 1, None),
