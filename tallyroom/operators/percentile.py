@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -25,79 +25,65 @@ def exact_percentiles(
     columns = sorted({column for column, _ in wanted.values()})
     # The column's number, not its name, keeps the shuffled rows at three longs.
     doubles = [F.col(c).cast("double") for c in columns]
-    values = df.select(F.posexplode(F.array(*doubles)).alias("column", "value"))
+    values = df.select(F.posexplode(F.array(*doubles)).alias("col_no", "value"))
     histogram = (
         values.filter(F.col("value").isNotNull())
-        .groupBy("column", "value")
+        .groupBy("col_no", "value")
         .agg(F.count("*").alias("n"))
     )
 
-    # One row per named column, each with under blocks ** 2 doubles: the
-    # broadcast does not grow with the data.
     ranges = blocks**2
     steps = ", ".join(f"{i / ranges}D" for i in range(1, ranges))
-    splits = histogram.groupBy("column").agg(
-        F.expr(f"percentile_approx(value, array({steps}), {8 * ranges})").alias("splits"),
-        F.sum("n").alias("total"),
+    asks = ", ".join(
+        f"('{name}', {columns.index(column)}, {float(p)}D)" for name, (column, p) in wanted.items()
     )
-    # The range is found in two steps of blocks - 1 comparisons, written out so
-    # that they compile; a lambda over the array would be interpreted.
-    block = _passed(f"{blocks} * {{i}} + {blocks - 1}", blocks - 1)
-    ranged = (
-        histogram.join(F.broadcast(splits), "column")
-        .withColumn("block", F.expr(block))
-        .withColumn(
-            "range",
-            F.col("block") * blocks + F.expr(_passed(f"{blocks} * block + {{i}}", blocks - 1)),
+    results = ", ".join(f"min(if(name = '{name}', value, null)) as `{name}`" for name in wanted)
+    return df.sparkSession.sql(
+        f"""
+        -- One row per named column, each with under blocks ** 2 doubles: the
+        -- broadcast does not grow with the data.
+        with splits as (
+            select col_no, sum(n) as total,
+                   percentile_approx(value, array({steps}), {8 * ranges}) as splits
+            from {{histogram}} group by col_no
+        ),
+        -- The range is found in two steps of blocks - 1 comparisons.
+        blocked as (
+            select /*+ broadcast(splits) */ col_no, value, n, splits, total,
+                   {_passed(f"{blocks} * {{i}} + {blocks - 1}", blocks - 1)} as block
+            from {{histogram}} join splits using (col_no)
+        ),
+        ranged as (
+            select col_no, value, n, total,
+                   block * {blocks} + {_passed(f"{blocks} * block + {{i}}", blocks - 1)} as range_no
+            from blocked
+        ),
+        -- At most blocks ** 2 rows per column.
+        range_counts as (
+            select col_no, sum(n) as n, max(total) as total, min(value) as low,
+                   max(value) as high, sum(sum(n)) over (partition by col_no order by range_no) as upto
+            from ranged group by col_no, range_no
+        ),
+        -- One row per entry of `wanted`.
+        target as (
+            select name, col_no, low, high, upto - n as below, sought
+            from (select *, greatest(ceil(p * total), 1) as sought
+                  from range_counts join values {asks} as asks(name, col_no, p) using (col_no))
+            where upto - n < sought and sought <= upto
+        ),
+        -- Each window sees the values of one range.
+        found as (
+            select /*+ broadcast(target) */ name, value, sought,
+                   below + sum(n) over (partition by name order by value) as upto
+            from {{histogram}} join target using (col_no)
+            where value between low and high
         )
-    )
-
-    # At most blocks ** 2 rows per column reach this window.
-    running = Window.partitionBy("column").orderBy("range")
-    target = (
-        ranged.groupBy("column", "range")
-        .agg(
-            F.sum("n").alias("n"),
-            F.max("total").alias("total"),
-            F.min("value").alias("low"),
-            F.max("value").alias("high"),
-        )
-        .withColumn("upto", F.sum("n").over(running))
-        .withColumn("before", F.col("upto") - F.col("n"))
-        .select("*", F.explode(_asked(wanted, columns)).alias("ask"))
-        .withColumn("rank", F.greatest(F.ceil(F.col("ask.p") * F.col("total")), F.lit(1)))
-        .filter((F.col("upto") >= F.col("rank")) & (F.col("before") < F.col("rank")))
-        .select("column", "low", "high", "before", "rank", "ask.name")
-    )
-
-    # `target` has one row per entry of `wanted`; each window sees one range.
-    inside = Window.partitionBy("name").orderBy("value")
-    found = (
-        histogram.join(F.broadcast(target), "column")
-        .filter(F.col("value").between(F.col("low"), F.col("high")))
-        .withColumn("upto", F.col("before") + F.sum("n").over(inside))
-        .filter(F.col("upto") >= F.col("rank"))
-    )
-    return found.agg(
-        *[F.min(F.when(F.col("name") == name, F.col("value"))).alias(name) for name in wanted]
+        select {results} from found where upto >= sought
+        """,
+        histogram=histogram,
     )
 
 
 def _passed(index: str, steps: int) -> str:
     """How many of the split points at ``index`` lie below the row's value."""
     return " + ".join(f"int(splits[{index.format(i=i)}] < value)" for i in range(steps))
-
-
-def _asked(wanted: Mapping[str, tuple[str, float]], columns: list[str]) -> Column:
-    """The entries of ``wanted`` that concern the row's column."""
-    entries = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("name"),
-                F.lit(columns.index(column)).alias("column"),
-                F.lit(float(p)).alias("p"),
-            )
-            for name, (column, p) in wanted.items()
-        ]
-    )
-    return F.filter(entries, lambda entry: entry["column"] == F.col("column"))
