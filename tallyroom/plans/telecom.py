@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tallyroom.functions.dates import month_start
 from tallyroom.functions.numbers import ratio, rounded
 from tallyroom.operators.profile import any_null
+from tallyroom.operators.repeat import repeat_rows
 
 USER_COLUMNS = (
     "user_id", "age", "churn_date", "city", "first_name", "last_name", "reg_date", "tariff",
@@ -173,8 +174,23 @@ def with_cost(overage: DataFrame) -> DataFrame:
     )
 
 
+def _held(users: DataFrame) -> DataFrame:
+    """How many rows, and active rows, each user has per tariff."""
+    return users.groupBy("user_id", "tariff").agg(
+        F.count("*").alias("rows"),
+        F.count_if(F.col("churn_date").isNull()).alias("active"),
+    )
+
+
 def _with_tariffs_held(stats: DataFrame, users: DataFrame) -> DataFrame:
-    return stats.join(users.select("user_id", "tariff"), "user_id", "left")
+    """User-months by every row of the user; unknown users keep their months.
+
+    Equal rows of a user are counted before the join and repeated after it, so
+    the join never gathers a user's many rows.
+    """
+    joined = stats.join(_held(users), "user_id", "left")
+    repeated = repeat_rows(joined, F.coalesce("rows", F.lit(1)))
+    return repeated.select(*stats.columns, "tariff")
 
 
 def overage(stats: DataFrame, users: DataFrame, tariffs: DataFrame) -> DataFrame:
@@ -200,13 +216,9 @@ def _weighted_costs(stats: DataFrame, users: DataFrame, tariffs: DataFrame) -> D
     the same averages without multiplying a user's months by its rows squared.
     A user missing from the table counts as active, with no tariff.
     """
-    held = users.groupBy("user_id", "tariff").agg(
-        F.count("*").alias("rows"),
-        F.count_if(F.col("churn_date").isNull()).alias("active"),
-    )
     # At most one row per tariff and user reaches this window.
     of_user = Window.partitionBy("user_id")
-    weights = held.select(
+    weights = _held(users).select(
         "user_id",
         "tariff",
         (F.col("rows") * F.sum("active").over(of_user)).alias("weight"),

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import datetime
+
 import pytest
+from frames import in_spark, random_tables
 from pyspark.sql import functions as F
 
 from tallyroom.operators.impute import fill_group_mean
+from tallyroom.operators.repeat import repeat_rows
 from tallyroom.plans import game, telecom
 
 ROWS = 240_000
@@ -73,6 +77,31 @@ def test_best_selling_item(spark, small_splits, rows):
     assert first.users_item_share == pytest.approx(hot_rows / ROWS)
 
 
+def test_repeated_rows(spark):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([1, 2, 6, 7, 50])], "i int, t int")
+    for chunk in (1, 3, 7, 1000):
+        counts = repeat_rows(df, F.col("t"), chunk).groupBy("i", "t").count().collect()
+        assert sorted((r.t, r["count"]) for r in counts) == [(t, t) for t in (1, 2, 6, 7, 50)]
+
+
+def test_user_with_a_third_of_the_user_rows(spark, rows):
+    """Every row of the user gives each of its months, as a join would."""
+    users = rows.select(
+        F.col("k").alias("user_id"), F.lit("smart").alias("tariff"),
+        F.lit(None).cast("date").alias("churn_date"),
+    )
+    stats = spark.createDataFrame(
+        [(u, datetime.date(2020, m, 1), 30, 5.0, 1) for u in (0, 1, -1) for m in (1, 2)],
+        "user_id long, dt_month date, month_duration long, month_mb_traffic double, month_sms long",
+    )
+    tariffs = in_spark(spark, {"tel_tariffs": random_tables(1)["tel_tariffs"]}).tel_tariffs
+    got = telecom.overage(stats, users, tariffs)
+    joined = stats.join(users.select("user_id", "tariff"), "user_id", "left")
+    assert got.count() == joined.count()
+    key = ["user_id", "dt_month", "tariff"]
+    assert got.groupBy(*key).count().exceptAll(joined.groupBy(*key).count()).isEmpty()
+
+
 def test_busiest_user_is_combined_before_the_shuffle(spark, rows):
     calls = rows.select(
         F.col("k").alias("user_id"),
