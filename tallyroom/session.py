@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 from functools import cache
@@ -45,14 +48,23 @@ def build_session(master: str | None = None, **conf: str) -> SparkSession:
 
 @cache
 def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="tallyroom-")
+    folder = tempfile.mkdtemp(prefix="tallyroom-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the folder all executors share.
 
-    The cluster names the folder in ``spark.checkpoint.dir``; a local folder
-    stands in only where that is unset, as in tests on one machine.
+    The cluster names the folder in ``spark.checkpoint.dir``. Where that is
+    unset, a local folder stands in for a local master, removed at exit; with
+    any other master it is an error, as executors would not see each other's
+    files there.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or _local_folder()
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        master = spark.sparkContext.master
+        if not re.match(r"local(\[[^-]*\])?$", master):
+            raise ValueError(f"name a folder that all executors share in spark.checkpoint.dir ({master})")
+        shared = _local_folder()
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
