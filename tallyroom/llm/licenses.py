@@ -10,7 +10,7 @@ counts if enough of the template stands there, its key phrases included.
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from functools import reduce
 from operator import and_, or_
 
@@ -99,11 +99,17 @@ def words_of(text: str) -> list[str]:
 def file_words(text: Column) -> Column:
     """The words of a text. Only A to Z change case, so the two letters that lower to ASCII are put aside."""
     plain = F.coalesce(text, F.lit(""))
-    for letter in ("K", "İ"):
-        plain = F.replace(plain, F.lit(letter), F.lit("ÿ"))
+    odd = ("K", "İ")
+    aside = reduce(lambda t, letter: F.replace(t, F.lit(letter), F.lit("ÿ")), odd, plain)
+    plain = F.when(reduce(or_, [plain.contains(letter) for letter in odd]), aside).otherwise(plain)
     return F.array_remove(F.split(F.lower(plain), SEPARATORS), "")
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, also where it is used for every element of an array."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _strings(values: list[str]) -> Column:
     return F.array(*[F.lit(v) for v in values]) if values else F.array().cast("array<string>")
 
@@ -134,42 +140,41 @@ def _template_share(words: Column, body: list[str], keys: tuple[str, ...], frequ
     """The largest share of a template that stands at one place of a file; null where it is not found."""
     size = len(body)
     by_rarity = sorted(set(body), key=lambda w: (frequency.get(w, 0), w))
-    rare = F.slice(F.array_intersect(_strings(by_rarity), words), 1, RARE)
+    distinct = _strings(by_rarity)
     postings = F.create_map(
         *[x for w in by_rarity for x in (F.lit(w), F.array(*[F.lit(i) for i, b in enumerate(body) if b == w]))]
     )
-    hits = F.filter(F.sequence(F.lit(1), F.size(words)), lambda i: F.array_contains(rare, F.element_at(words, i)))
-    # Where the template would start, once for every agreeing word.
-    starts = F.array_sort(
-        F.flatten(
-            F.transform(
-                hits, lambda i: F.transform(F.element_at(postings, F.element_at(words, i)), lambda p: i - p)
-            )
+
+    def starts_of(rare: Column) -> Column:
+        """Where the template would start, once for every agreeing word, in order."""
+        hits = F.filter(
+            F.sequence(F.lit(1), F.size(words)), lambda i: F.array_contains(rare, F.element_at(words, i))
         )
-    )
-    # The same start AGREE times in a row.
-    need = F.least(F.lit(min(AGREE, size)), F.size(rare))
-    rows = F.sequence(F.lit(1), F.size(starts) - need + 1)
-    agreed = F.array_distinct(
-        F.transform(
-            F.filter(rows, lambda k: F.element_at(starts, k) == F.element_at(starts, k + need - 1)),
-            lambda k: F.element_at(starts, k),
+        places = F.transform(
+            hits, lambda i: F.transform(F.element_at(postings, F.element_at(words, i)), lambda p: i - p)
         )
-    )
-    distinct = _strings(by_rarity)
+        return F.array_sort(F.flatten(places))
+
+    def agreed(rare: Column, starts: Column) -> Column:
+        """The starts that stand AGREE times in a row."""
+        need = F.least(F.lit(min(AGREE, size)), F.size(rare))
+        last = F.filter(starts, lambda s, k: F.get(starts, k + need - 1) == s)
+        return F.array_distinct(last)
 
     def share(start: Column) -> Column:
         # Some words around, as words that a file adds or drops move the rest.
-        begin = F.greatest(start - AROUND, F.lit(1))
-        place = F.slice(words, begin, F.lit(size + 2 * AROUND))
+        place = F.slice(words, F.greatest(start - AROUND, F.lit(1)), F.lit(size + 2 * AROUND))
         text = F.concat(F.lit(" "), F.array_join(place, " "), F.lit(" "))
         verified = reduce(and_, [text.contains(f" {k} ") for k in keys])
         return F.when(verified, F.size(F.array_intersect(distinct, place)) / len(by_rarity)).otherwise(0.0)
 
-    shares = F.transform(agreed, share)
-    best = F.array_max(shares)
-    possible = (F.size(rare) >= min(2, size)) & (F.size(starts) >= need)
-    return F.when(possible & (best >= MATCH), best)
+    best = let(
+        F.slice(F.array_intersect(distinct, words), 1, RARE),
+        lambda rare: let(
+            starts_of(rare), lambda starts: F.array_max(F.transform(agreed(rare, starts), share))
+        ),
+    )
+    return let(best, lambda found: F.when(found >= MATCH, found))
 
 
 def scanned(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -180,9 +185,19 @@ def scanned(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFra
     often as they came in; an empty table gives an empty table.
     """
     frequency = document_frequency(docs, text)
-    files = docs.select(F.col(f"`{key}`").alias("key"), file_words(F.col(f"`{text}`")).alias("words"))
+    body = F.col(f"`{text}`")
+    # Only a file with all words of a phrase or of a key phrase can hold it.
+    low = F.lower(body)
+    needed = [*PHRASES, *[max(keys, key=len) for _, keys in TEMPLATES.values()]]
+    hinted = reduce(or_, [reduce(and_, [low.contains(w) for w in phrase.split()]) for phrase in needed])
+    files = docs.select(
+        F.col(f"`{key}`").alias("key"),
+        F.size(file_words(body)).cast("long").alias("n_words"),
+        F.when(hinted, body).alias("hinted"),
+    )
+    files = files.select("key", "n_words", F.when(F.col("hinted").isNotNull(), file_words(F.col("hinted"))).alias("words"))
     words = F.col("words")
-    files = files.select("*", F.concat(F.lit(" "), F.array_join(words, " "), F.lit(" ")).alias("joined"))
+    files = files.select("key", "n_words", "words", F.concat(F.lit(" "), F.array_join(words, " "), F.lit(" ")).alias("joined"))
     places = {label: _phrase_places(words, F.col("joined"), phrase) for phrase, label in PHRASES.items()}
     shares = {}
     maybe = []
@@ -193,7 +208,7 @@ def scanned(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFra
         shares[label] = F.when(possible, _template_share(words, words_of(body), keys, frequency))
     found = files.select(
         "key",
-        F.size(words).cast("long").alias("n_words"),
+        "n_words",
         F.struct(*[F.struct(*[c.alias(n) for n, c in p.items()]).alias(label) for label, p in places.items()]).alias(
             "places"
         ),
