@@ -8,8 +8,9 @@ import zipfile
 from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -168,3 +169,47 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     return current.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
         current.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     )
+
+
+def in_units(
+    rows: DataFrame, unit: str, order: list[str], parts: int, make: Callable[[], Callable], schema: str
+) -> DataFrame:
+    """Imperative work on sorted runs of rows: ``make()`` gives ``each(unit, batch) -> list of output batches``.
+
+    The rows of a ``unit`` (a long) arrive in ``order``, in one task, batch by
+    batch, so a unit may be larger than memory. After its last row ``each`` is
+    called with None.
+    """
+    ship(rows.sparkSession)
+    at = rows.columns.index(unit)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        each = make()
+        open_ = None
+        for batch in batches:
+            units = batch.column(at).to_numpy(zero_copy_only=False)
+            edges = [0, *(np.flatnonzero(units[1:] != units[:-1]) + 1).tolist(), len(units)]
+            for a, b in zip(edges, edges[1:], strict=False):
+                if a == b:
+                    continue
+                if open_ is not None and open_ != units[a]:
+                    yield from each(open_, None)
+                open_ = units[a]
+                yield from each(open_, batch.slice(a, b - a))
+        if open_ is not None:
+            yield from each(open_, None)
+
+    return rows.repartition(max(1, parts), unit).sortWithinPartitions(unit, *order).mapInArrow(run, schema)
+
+
+def matrix(column: pa.Array, kind: type) -> np.ndarray:
+    """An array column whose arrays have one length, as rows of a matrix."""
+    values = column.flatten().to_numpy(zero_copy_only=False)
+    return values.reshape(len(column), -1).astype(kind, copy=False)
+
+
+def ranked(found: DataFrame, k: int) -> DataFrame:
+    """``query_id, rank, vec_id, score``: the ``k`` highest scores of each query, ties to the smaller id."""
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return best.select("query_id", "rank", "vec_id", "score")

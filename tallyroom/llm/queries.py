@@ -5,11 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyroom.llm import html_text, licenses, mixing, packing, quality, secrets, simhash
+from tallyroom.llm import ann, html_text, licenses, mixing, packing, quality, secrets, simhash, topk
 from tallyroom.llm.common import table
 
 
+def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, radius=4)
 
@@ -34,16 +39,20 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), limit=2048)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
-        op2_simhash, op3_mixing, op4_licenses, op5_html_text, op6_secrets, op7_quality, op9_packing,
+        op1_ann, op2_simhash, op3_mixing, op4_licenses, op5_html_text, op6_secrets, op7_quality, op8_topk, op9_packing,
     )
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mixing": mixing.SQL}
+    return {"op3_mixing": mixing.SQL, "op8_topk": topk.SQL}
