@@ -78,11 +78,11 @@ def targets(sizes: DataFrame, weights: Sequence[float], most: int) -> DataFrame:
     )
 
 
-def _rank(odds: Column) -> Column:
-    """The Pareto ranking variable, mapped to 0 to 1; documents included for sure have none."""
-    chance = F.col("rest") / F.col("source_size")
-    ratio = odds / (chance / (1 - chance))
-    return F.when(F.col("rest") > 0, ratio / (1 + ratio))
+def _rank(odds: Column, rest: Column, source_size: Column) -> Column:
+    """The Pareto ranking variable, mapped to 0 to 1; null where no document gets a further copy."""
+    chance = F.when(rest > 0, rest / source_size)
+    ratio = odds * (1 - chance) / chance
+    return ratio / (1 + ratio)
 
 
 def _bins(rank: Column) -> tuple[Column, Column]:
@@ -112,7 +112,7 @@ def _same(left: DataFrame, right: DataFrame, how: str = "inner", *more: str) ->
 
 def cuts(sized: DataFrame, goals: DataFrame) -> DataFrame:
     """``goals`` and, per source, ``upto``: documents with a rank up to it get one more copy."""
-    ranked = _same(sized, goals).withColumn("rank", _rank(F.col("odds"))).filter("rank is not null")
+    ranked = _same(sized, goals).withColumn("rank", _rank(F.col("odds"), F.col("rest"), F.col("source_size"))).filter("rank is not null")
     coarse, fine = _bins(F.col("rank"))
     ranked = ranked.select("source", "size", "rest", "rank", coarse.alias("coarse"), fine.alias("fine"))
     first = _last_bin(ranked, "coarse", F.lit(0))
@@ -173,10 +173,8 @@ def with_copies(
     )
     measured = docs.withColumns({size: measures[0], odds: measures[1]})
     joined = measured.join(ends, measured[f"`{source}`"].eqNullSafe(ends["_of" + mine]), "left")
-    chance = F.col(rest) / F.col(source_size)
-    ratio = F.col(odds) / (chance / (1 - chance))
-    rank = ratio / (1 + ratio)
-    more = F.when((F.col(rest) > 0) & ((rank < F.col(edge)) | (rank <= F.col(upto))), 1).otherwise(0)
+    rank = _rank(F.col(odds), F.col(rest), F.col(source_size))
+    more = F.when((rank < F.col(edge)) | (rank <= F.col(upto)), 1).otherwise(0)
     result = joined.withColumn(copies, F.col(whole) + more)
     return result, [size, source_size, target, copies]
 
@@ -248,7 +246,8 @@ parts as (
 rests as (select *, greatest(target - whole * source_size, 0) as rest from parts),
 ranked as (
     select s.doc_id, s.size, r.*,
-           (s.u / (1 - s.u)) / ((rest / source_size) / (1 - rest / source_size)) as ratio
+           case when rest > 0
+                then (s.u / (1 - s.u)) * (1 - rest / source_size) / (rest / source_size) end as ratio
     from sized s join rests r on s.source is not distinct from r.source
 ),
 run as (

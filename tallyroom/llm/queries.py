@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyroom.llm import ann, html_text, licenses, mixing, packing, quality, secrets, simhash, topk
+from tallyroom.llm import ann, html_text, licenses, mixing, packing, quality, secrets, simhash, substrings, topk
 from tallyroom.llm.common import table
 
 
@@ -47,9 +47,14 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), limit=2048)
 
 
+def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.deduplicated(table(spark, sf_dir, "documents"), length=100)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_ann, op2_simhash, op3_mixing, op4_licenses, op5_html_text, op6_secrets, op7_quality, op8_topk, op9_packing,
+        op10_substrings,
     )
     return {f.__name__: f for f in found}
 
