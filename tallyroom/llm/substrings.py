@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyroom.llm.common import in_units, ship, stored
+from tallyroom.llm.common import in_units, release, ship, stored
 from tallyroom.llm.induced import permuted_prefixes, suffix_order
 
 LENGTH = 100
@@ -275,6 +275,8 @@ def spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame
     keys = stored(found.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key"), "repeated-keys")
     again = stored(found.join(keys, "key", "left_semi"), "repeated-anchors")
 
+    release(texts.sparkSession)
+
     # Equal snippets: all but the first are settled without their bytes.
     same = ["key", "snippet", "strings", "ahead"]
     first = again.groupBy(*same).agg(F.min(F.struct("doc", "print", "low")).alias("first"))
@@ -320,7 +322,9 @@ def spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame
     asked = texts.join(wanted, ["doc", "print"]).select("doc", "print", "text", "wanted").dropDuplicates(["doc", "print"])
     snippets = asked.mapInArrow(cut, "unit long, key long, doc long, print long, low int, bytes binary")
     resolved = _settle(snippets.select("unit", "doc", "print", "low", "bytes", "key"), 2 * shards, length)
-    return settled.union(resolved)
+    found = stored(settled.union(resolved), "spans")
+    release(texts.sparkSession)
+    return found
 
 
 def deduplicated(
