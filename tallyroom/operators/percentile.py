@@ -1,89 +1,132 @@
-"""Exact discrete percentiles without a global sort."""
+"""Exact discrete percentiles without a sort of the values."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+#: Fixed values of doubles: the least normal one, the bits of a fraction, the exponent's offset.
+NORMAL, FRACTION, OFFSET = 2.0**-1022, 2.0**52, 1023
+INFINITE, NOT_A_NUMBER = 0x7FF << 52, (0x7FF << 52) + 1
+
+
+def _double_key(x: Column) -> Column:
+    """A whole number per double in the same order: its bits, negated for negative ones; both zeros are 0."""
+    size = F.abs(x)
+    guess = F.floor(F.log2(size)).cast("double")
+    # The logarithm may be off by one next to a power of two.
+    power = (
+        F.when(F.pow(F.lit(2.0), guess) > size, guess - 1)
+        .when((guess < OFFSET) & (F.pow(F.lit(2.0), guess + 1) <= size), guess + 1)
+        .otherwise(guess)
+    )
+    fraction = (size / F.pow(F.lit(2.0), power) - 1) * FRACTION
+    normal = (power.cast("long") + OFFSET) * F.lit(1 << 52) + fraction.cast("long")
+    tiny = (size * 2.0**537 * 2.0**537).cast("long")
+    key = (
+        F.when(size == float("inf"), F.lit(INFINITE))
+        .when(size < NORMAL, tiny)
+        .otherwise(normal)
+    )
+    return F.when(F.isnan(x), F.lit(NOT_A_NUMBER)).otherwise(F.when(x < 0, -key).otherwise(key))
+
+
+def _double_of(key: Column) -> Column:
+    size = F.abs(key)
+    exponent = F.shiftright(size, 52)
+    fraction = size.bitwiseAND(F.lit((1 << 52) - 1)).cast("double")
+    normal = (1 + fraction / FRACTION) * F.pow(F.lit(2.0), exponent.cast("double") - OFFSET)
+    value = (
+        F.when(size == NOT_A_NUMBER, F.lit(float("nan")))
+        .when(size == INFINITE, F.lit(float("inf")))
+        .when(exponent == 0, fraction * 2.0**-537 * 2.0**-537)
+        .otherwise(normal)
+    )
+    return F.when(key < 0, -value).otherwise(value)
+
+
+def _keyed(column: str, kind: T.DataType) -> tuple[Column, str]:
+    """The column as whole numbers in its own order, and how to read one back."""
+    value = F.col(f"`{column}`")
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return _double_key(value.cast("double")), "double"
+    if isinstance(kind, T.IntegralType):
+        return value.cast("long"), "whole"
+    if isinstance(kind, T.DecimalType) and kind.precision <= 18:
+        return (value * F.lit(10**kind.scale)).cast("long"), "decimal"
+    raise TypeError(f"percentiles need numbers of up to 18 digits or doubles, not {kind.simpleString()}: {column}")
+
+
+def _read_back(key: Column, how: str, kind: T.DataType) -> Column:
+    if how == "double":
+        return _double_of(key).cast(kind)
+    if how == "decimal":
+        wide = key.cast(T.DecimalType(20, 0)) / F.lit(10**kind.scale).cast(T.DecimalType(20, 0))
+        return wide.cast(kind)
+    return key.cast(kind)
 
 
 def exact_percentiles(
-    df: DataFrame, wanted: Mapping[str, tuple[str, float]], blocks: int = 16
+    df: DataFrame, wanted: Mapping[str, tuple[str, float]], bits: int = 16
 ) -> DataFrame:
-    """One row with a double per entry of ``wanted`` (``name -> (column, p)``).
+    """One row with a value per entry of ``wanted`` (``name -> (column, p)``), in the column's own type.
 
-    Each value is the smallest one whose cumulative share reaches ``p``, NULLs
-    left out; a column without values gives NULL.
+    Each is the smallest value whose cumulative share reaches ``p``, NULLs left
+    out and NaN last; a column without values gives NULL.
 
     The built-in ``percentile_disc`` merges one map of all distinct values in a
-    single task. Here the columns become one distributed histogram: a hot value
-    is combined before the shuffle, and the wanted rank is located first among
-    ``blocks ** 2`` value ranges (a few rows per column), then inside one range.
-    The split points only balance the ranges; the counts are exact.
+    single task. Here each value is a 64-bit number in the same order, and the
+    wanted one is found ``bits`` at a time: a pass counts the rows per next
+    bits among those that begin like the ones found so far. Counts are combined
+    before their shuffle, so neither values nor hot ones move, and no task or
+    window sees more than ``2 ** bits`` rows per entry, however many there are.
     """
     columns = sorted({column for column, _ in wanted.values()})
-    # The column's number, not its name, keeps the shuffled rows at three longs.
-    doubles = [F.col(c).cast("double") for c in columns]
-    values = df.select(F.posexplode(F.array(*doubles)).alias("col_no", "value"))
-    histogram = (
-        values.filter(F.col("value").isNotNull())
-        .groupBy("col_no", "value")
-        .agg(F.count("*").alias("n"))
-    )
-
-    ranges = blocks**2
-    steps = ", ".join(f"{i / ranges}D" for i in range(1, ranges))
-    asks = ", ".join(
-        f"('{name}', {columns.index(column)}, {float(p)}D)" for name, (column, p) in wanted.items()
+    kinds = {c: df.schema[c].dataType for c in columns}
+    keyed = {c: _keyed(c, kinds[c]) for c in columns}
+    values = df.select(F.posexplode(F.array(*[keyed[c][0] for c in columns])).alias("col_no", "key")).filter(
+        F.col("key").isNotNull()
     )
-    results = ", ".join(f"min(if(name = '{name}', value, null)) as `{name}`" for name in wanted)
-    return df.sparkSession.sql(
-        f"""
-        -- One row per named column, each with under blocks ** 2 doubles: the
-        -- broadcast does not grow with the data.
-        with splits as (
-            select col_no, sum(n) as total,
-                   percentile_approx(value, array({steps}), {8 * ranges}) as splits
-            from {{histogram}} group by col_no
-        ),
-        -- The range is found in two steps of blocks - 1 comparisons.
-        blocked as (
-            select /*+ broadcast(splits) */ col_no, value, n, splits, total,
-                   {_passed(f"{blocks} * {{i}} + {blocks - 1}", blocks - 1)} as block
-            from {{histogram}} join splits using (col_no)
-        ),
-        ranged as (
-            select col_no, value, n, total,
-                   block * {blocks} + {_passed(f"{blocks} * block + {{i}}", blocks - 1)} as range_no
-            from blocked
-        ),
-        -- At most blocks ** 2 rows per column.
-        range_counts as (
-            select col_no, sum(n) as n, max(total) as total, min(value) as low,
-                   max(value) as high, sum(sum(n)) over (partition by col_no order by range_no) as upto
-            from ranged group by col_no, range_no
-        ),
-        -- One row per entry of `wanted`.
-        target as (
-            select name, col_no, low, high, upto - n as below, sought
-            from (select *, greatest(ceil(p * total), 1) as sought
-                  from range_counts join values {asks} as asks(name, col_no, p) using (col_no))
-            where upto - n < sought and sought <= upto
-        ),
-        -- Each window sees the values of one range.
-        found as (
-            select /*+ broadcast(target) */ name, value, sought,
-                   below + sum(n) over (partition by name order by value) as upto
-            from {{histogram}} join target using (col_no)
-            where value between low and high
+    entries = [
+        F.struct(F.lit(name).alias("name"), F.lit(columns.index(column)).alias("no"), F.lit(float(p)).alias("p"))
+        for name, (column, p) in wanted.items()
+    ]
+    asks = df.sparkSession.range(1).select(F.inline(F.array(*entries)))
+    order = Window.partitionBy("name").orderBy("prefix")
+    whole = Window.partitionBy("name")
+    nothing = F.lit(None).cast("long")
+    found = asks.select("name", "no", "p", nothing.alias("before"), nothing.alias("rank"))
+    for shift in range(64 - min(bits, 64), -bits, -bits):
+        shift = max(shift, 0)
+        prefix = F.shiftright("key", shift).alias("prefix")
+        # One row per entry: the broadcast does not grow with the data.
+        entry = F.broadcast(found)
+        if shift + bits >= 64:
+            # The first counts are the same for all entries of a column.
+            counts = values.groupBy("col_no", prefix).agg(F.count("*").alias("n"))
+            counts = counts.join(entry, F.col("col_no") == F.col("no"))
+        else:
+            begins = F.shiftright("key", last) == F.col("before")
+            counts = (
+                values.join(entry, (F.col("col_no") == F.col("no")) & begins)
+                .groupBy("name", "no", "p", "rank", prefix)
+                .agg(F.count("*").alias("n"))
+            )
+        last = shift
+        rank = F.greatest(F.ceil(F.col("p") * F.sum("n").over(whole)), F.lit(1))
+        running = counts.select(
+            "name", "no", "p", "prefix", "n", F.coalesce("rank", rank).alias("rank"),
+            F.sum("n").over(order).alias("upto"),
         )
-        select {results} from found where upto >= sought
-        """,
-        histogram=histogram,
-    )
-
-
-def _passed(index: str, steps: int) -> str:
-    """How many of the split points at ``index`` lie below the row's value."""
-    return " + ".join(f"int(splits[{index.format(i=i)}] < value)" for i in range(steps))
+        below = F.col("upto") - F.col("n")
+        found = running.filter((below < F.col("rank")) & (F.col("rank") <= F.col("upto"))).select(
+            "name", "no", "p", F.col("prefix").alias("before"), (F.col("rank") - below).alias("rank")
+        )
+    results = []
+    for name, (column, _) in wanted.items():
+        key = F.min(F.when(F.col("name") == name, F.col("before")))
+        results.append(_read_back(key, keyed[column][1], kinds[column]).alias(name))
+    return found.agg(*results)

@@ -47,11 +47,10 @@ def limits(flats: DataFrame) -> DataFrame:
 def trimmed(flats: DataFrame) -> DataFrame:
     """Flats strictly inside the limits. A missing value passes, but for the area.
 
-    The limits are five numbers. Fetching them first makes them literals, so
-    the filter reaches the scan and the plan holds no copy of their subquery.
+    The limits are scalar subqueries over one row, so building the plan runs no job.
     """
-    found = limits(flats).first().asDict()
-    limit = {name: F.lit(value).cast("double") for name, value in found.items()}
+    found = limits(flats)
+    limit = {name: found.select(name).scalar() for name in LIMITS}
 
     def below(column: str) -> Column:
         return F.col(column) < limit[f"{column}_limit"]
