@@ -30,7 +30,12 @@ def with_steps(body: str, views: Mapping[str, str]) -> str:
 
 
 def half_up(value: str, scale: int) -> str:
-    return f"cast(round(cast({value} as decimal(38,10)), {scale}) as double)"
+    """Infinity, NaN and numbers from 1e27 on stay as they are."""
+    number = f"cast({value} as double)"
+    return (
+        f"(case when abs({number}) < 1e27 "
+        f"then cast(round(try_cast({value} as decimal(38,10)), {scale}) as double) else {number} end)"
+    )
 
 
 def _number(text: str) -> str:
@@ -403,6 +408,10 @@ def _game() -> dict[str, str]:
 
 def _sales() -> dict[str, str]:
     loaded = f"select row_id, {_quoted_games()} from raw_games"
+    top = """
+            select platform, count(*) as count from period_rows
+            where platform is not null group by platform
+            order by count(*) desc, platform limit 7"""
 
     def info(names, types: dict[str, str], source: str) -> str:
         return _per_name(
@@ -429,7 +438,7 @@ def _sales() -> dict[str, str]:
         for c in ("eu_sales", "jp_sales")
     }
     return {
-        "nb_load": loaded,
+        "nb_load": f"select row_number() over (order by row_id) - 1 as row_id, {_quoted_games()} from raw_games",
         "nb_preview": f"{loaded} order by row_id limit 5",
         "nb_info": info(_HEADER, _RAW_TYPES, "raw_games"),
         "nb_info_typed": info(_GAMES, _TYPED_TYPES, "typed_games"),
@@ -487,10 +496,8 @@ def _sales() -> dict[str, str]:
         "nb_period": "select * from period_rows",
         "nb_user_category": f"select *, {graded_user} as user_category from period_rows",
         "nb_critic_category": f"select *, {graded_critic} as critic_category from period_rows",
-        "nb_top_platforms": """
-            select platform, count(*) as count from period_rows
-            where platform is not null group by platform
-            order by count(*) desc, platform limit 7""",
+        "nb_top_platforms": top,
+        "nb_file_to_top_platforms": top,
     }
 
 

@@ -17,7 +17,7 @@ from tallyroom.operators import profile
 from tallyroom.plans import game, game_sales, realty, telecom
 from tallyroom.session import scratch_path
 from tallyroom.sources.game_sales import read_games_csv, with_file_header, write_games_csv
-from tallyroom.sources.tables import TABLES, Views, table
+from tallyroom.sources.tables import Views, table, table_names
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -92,7 +92,9 @@ def _telecom() -> dict[str, Callable[[Views], DataFrame]]:
 def _realty() -> dict[str, Callable[[Views], DataFrame]]:
     r = realty
     return {
-        "re_limits": lambda v: r.limits(v.re_flats),
+        "re_limits": lambda v: r.limits(v.re_flats).select(
+            *[F.col(name).cast("double").alias(name) for name in r.LIMITS]
+        ),
         "re_filtered_ids": lambda v: r.trimmed(v.re_flats).select("id"),
         "re_region_label": lambda v: r.with_region(v.re_flats, v.re_city),
         "re_exposition_segment": lambda v: r.segmented_ads(v.re_ads, r.trimmed(v.re_flats)),
@@ -143,11 +145,16 @@ def _game() -> dict[str, Callable[[Views], DataFrame]]:
 
 
 def load_through_csv(v: Views) -> DataFrame:
-    """The sales table written as a CSV file to the shared folder and loaded from it."""
+    """The sales table written as CSV to the shared folder and loaded from it, rows numbered by their place."""
     games = v.raw_games
     path = scratch_path(games.sparkSession, "games-csv")
     write_games_csv(with_file_header(games), path)
-    return read_games_csv(games.sparkSession, path, extra={"row_id": "bigint"})
+    return read_games_csv(games.sparkSession, path, position="row_id")
+
+
+def top_platforms_of_file(v: Views) -> DataFrame:
+    """The whole chain, from the file to the top platforms."""
+    return game_sales.top_platforms(snake_case_columns(load_through_csv(v)))
 
 
 def _sales() -> dict[str, Callable[[Views], DataFrame]]:
@@ -182,6 +189,7 @@ def _sales() -> dict[str, Callable[[Views], DataFrame]]:
         "nb_user_category": lambda v: s.period_games(v.raw_games).drop("critic_category"),
         "nb_critic_category": lambda v: s.period_games(v.raw_games).drop("user_category"),
         "nb_top_platforms": lambda v: s.top_platforms(v.raw_games),
+        "nb_file_to_top_platforms": top_platforms_of_file,
     }
 
 
@@ -197,6 +205,6 @@ def queries() -> dict[str, Query]:
     return {
         **{key: over_views(analysis) for key, analysis in analyses().items()},
         "cat_tables": lambda spark, sf_dir: profile.row_counts(
-            {name: table(spark, sf_dir, name) for name in TABLES}
+            {name: table(spark, sf_dir, name) for name in table_names(spark, sf_dir)}
         ),
     }

@@ -33,6 +33,14 @@ SCHEMAS = {
 _SOURCE = re.compile(rf"\b(from|join) ({'|'.join(TABLES)})\b")
 
 
+def table_names(spark: SparkSession, sf_dir: str) -> list[str]:
+    """The tables that a data folder holds: its parquet files and folders, wherever Spark reads them."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [status.getPath().getName() for status in files.listStatus(folder)]
+    return sorted(name.removesuffix(".parquet") for name in names if name.endswith(".parquet"))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     reader = spark.read.schema(SCHEMAS[name]) if name in SCHEMAS else spark.read
     return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -176,3 +176,52 @@ def test_day_type_is_untouched_by_time_zone(spark):
         assert df.select(F.trunc("d", "month")).first()[0] == datetime.date(2020, 1, 1)
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def written(folder, name, rows, columns=tuple(HEADER)):
+    pd.DataFrame(rows, columns=list(HEADER))[list(columns)].to_csv(folder / name, index=False)
+
+
+def test_columns_are_found_by_name(spark, tmp_path):
+    columns = sorted(HEADER, reverse=True)
+    written(tmp_path, "games.csv", ROWS, columns)
+    rows = read_games_csv(spark, str(tmp_path / "games.csv")).collect()
+    assert rows[0]["Name"] == ROWS[0][0] and rows[0]["Platform"] == "XB"
+
+
+def test_other_headers_are_refused(spark, tmp_path):
+    written(tmp_path, "short.csv", ROWS, [c for c in HEADER if c != "Genre"])
+    with pytest.raises(ValueError, match="Genre"):
+        read_games_csv(spark, str(tmp_path / "short.csv"))
+    both = tmp_path / "both"
+    both.mkdir()
+    written(both, "a.csv", ROWS)
+    written(both, "b.csv", ROWS, sorted(HEADER))
+    with pytest.raises(Exception, match="(?i)header"):
+        read_games_csv(spark, str(both)).collect()
+
+
+def test_line_breaks_inside_fields(spark, tmp_path):
+    rows = [["two\nlines", *ROWS[0][1:]], ROWS[-1]]
+    written(tmp_path, "games.csv", rows)
+    path = str(tmp_path / "games.csv")
+    whole = read_games_csv(spark, path, multi_line=True).collect()
+    assert [r["Name"] for r in whole] == ["two\nlines", None]
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_games_csv(spark, path).collect()
+
+
+def test_rows_are_numbered_by_file_and_place(spark, tmp_path):
+    folder = tmp_path / "parts"
+    folder.mkdir()
+    names = [f"game {i}" for i in range(3000)]
+    for part in range(3):
+        written(folder, f"{part}.csv", [[n, *ROWS[0][1:]] for n in names[part * 1000 : (part + 1) * 1000]])
+    for size in ("128m", "20k"):  # whole files, and several splits of each
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            rows = read_games_csv(spark, str(folder), position="row_id").collect()
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        assert [r["Name"] for r in sorted(rows, key=lambda r: r.row_id)] == names
+        assert sorted(r.row_id for r in rows) == list(range(3000))
