@@ -15,7 +15,7 @@ from tallyroom.functions.text import case_style
 
 
 def any_null(columns: Iterable[str]) -> Column:
-    return reduce(or_, [F.col(c).isNull() for c in columns])
+    return reduce(or_, [F.col(f"`{c}`").isNull() for c in columns])
 
 
 def preview(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
@@ -85,13 +85,15 @@ def column_catalogue(df: DataFrame, table_name: str) -> DataFrame:
     must repeat; the driver receives one flag per column. Only the columns left
     are read again, in one shuffle of (column, value) counts.
     """
-    spans = {f"span_{f.name}": span for f in df.schema.fields if (span := _span(f)) is not None}
+    # By position: a name may hold a dot.
+    place = {f.name: i for i, f in enumerate(df.schema.fields)}
+    spans = {f"span_{place[f.name]}": span for f in df.schema.fields if (span := _span(f)) is not None}
 
     def row(field: T.StructField, filled: Column) -> list[Column]:
         possible = filled == F.col("rows")
-        if f"span_{field.name}" in spans:
+        if f"span_{place[field.name]}" in spans:
             # An empty table has no span, and every column of it is a key.
-            roomy = F.col(f"span_{field.name}") >= F.col("rows")
+            roomy = F.col(f"span_{place[field.name]}") >= F.col("rows")
             possible = possible & F.coalesce(roomy, F.lit(True))
         return [F.lit(field.name).alias("name"), possible.alias("possible")]
 
@@ -103,9 +105,8 @@ def column_catalogue(df: DataFrame, table_name: str) -> DataFrame:
     left = [name for name in df.columns if possible[name]]
     if not left:
         return listed
-    texts = df.select([F.col(c).cast("string").alias(c) for c in left])
     repeats = (
-        texts.unpivot([], left, "column_name", "value")
+        _as_texts(df, left)
         .groupBy("column_name", "value")
         .agg(F.count("*").alias("n"))
         .groupBy("column_name")
@@ -118,7 +119,7 @@ def column_catalogue(df: DataFrame, table_name: str) -> DataFrame:
 
 def _span(field: T.StructField) -> Column | None:
     """How many different values a column's range has room for, if countable."""
-    low, high = F.min(field.name), F.max(field.name)
+    low, high = F.min(f"`{field.name}`"), F.max(f"`{field.name}`")
     if isinstance(field.dataType, T.IntegralType):
         wide = "decimal(38,0)"
         return high.cast(wide) - low.cast(wide) + 1
@@ -167,14 +168,30 @@ def name_styles(df: DataFrame) -> DataFrame:
 
 def _distinct_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Distinct (column_name, value) pairs, values as text; one shuffle."""
-    texts = df.select([F.col(c).cast("string").alias(c) for c in columns])
-    return texts.unpivot([], list(columns), "column_name", "value").distinct()
+    return _as_texts(df, columns).distinct()
+
+
+def _as_texts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column_name, value) of every row and column, values as text."""
+    pairs = [
+        F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("value")) for c in columns
+    ]
+    return df.select(F.inline(F.array(*pairs)))
 
 
 def distinct_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The sorted distinct values of several columns, missing last."""
+    """The distinct values of several columns as text, sorted as what they are, missing last.
+
+    Numbers are sorted by value, everything else as text.
+    """
+    numeric = [c for c in columns if isinstance(df.schema[c].dataType, T.NumericType)]
+    number = F.when(F.col("column_name").isin(numeric), F.col("value").try_cast("double"))
+    exact = F.when(F.col("column_name").isin(numeric), F.col("value").try_cast("decimal(38,10)"))
     return _distinct_pairs(df, columns).orderBy(
-        "column_name", F.col("value").asc_nulls_last()
+        "column_name",
+        number.asc_nulls_last(),
+        exact.asc_nulls_last(),
+        F.col("value").asc_nulls_last(),
     )
 
 
@@ -209,9 +226,9 @@ def cardinality(df: DataFrame, folds: Mapping[str, str]) -> DataFrame:
 
 def frequencies(df: DataFrame, column: str) -> DataFrame:
     """Rows per value, NULLs left out."""
-    return df.filter(F.col(column).isNotNull()).groupBy(column).count()
+    return df.filter(F.col(f"`{column}`").isNotNull()).groupBy(f"`{column}`").count()
 
 
 def most_frequent(df: DataFrame, column: str, k: int) -> DataFrame:
     """The ``k`` most frequent values; equal counts go by value."""
-    return frequencies(df, column).orderBy(F.desc("count"), F.asc(column)).limit(k)
+    return frequencies(df, column).orderBy(F.desc("count"), F.asc(f"`{column}`")).limit(k)

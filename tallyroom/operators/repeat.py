@@ -6,17 +6,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def repeat_rows(df: DataFrame, times: Column, chunk: int = 10_000) -> DataFrame:
-    """Each row as often as ``times`` says, at least once.
+def repeat_rows(df: DataFrame, times: Column, chunk: int = 1000) -> DataFrame:
+    """Each row as often as ``times`` says; NULL and numbers below one count as one.
 
     Chunks first, then copies: no array grows beyond ``times / chunk`` or
-    ``chunk`` entries, however often a row is repeated.
+    ``chunk`` entries, however often a row is repeated. The chunks are dealt
+    out evenly before they become copies, so those of one row spread over all
+    tasks.
     """
-    times = times.cast("long")
+    times = F.greatest(F.coalesce(times.cast("long"), F.lit(1)), F.lit(1))
+    # A stated number: judged by the size of the rows before they are copied,
+    # adaptive execution would merge all tasks into one.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     chunks = F.sequence(F.lit(0).cast("long"), F.floor((times - 1) / chunk))
     copies = F.least(F.lit(chunk), times - F.col("_chunk") * chunk)
     return (
         df.select("*", F.explode(chunks).alias("_chunk"))
+        .repartition(tasks, F.col("_chunk"), F.hash(*[F.col(f"`{c}`") for c in df.columns]))
         .select("*", F.explode(F.sequence(F.lit(1).cast("long"), copies)).alias("_copy"))
         .select(*df.columns)
     )

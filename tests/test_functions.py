@@ -99,3 +99,13 @@ def test_dates(spark):
     assert column(spark, [day], "date", lambda d: plus_days(d, F.lit(1))) == [
         datetime.date(2020, 3, 1)
     ]
+
+
+def test_rounding_keeps_what_has_no_digits(spark):
+    from tallyroom.functions.numbers import rounded, rounded_even
+
+    values = [float("inf"), -float("inf"), float("nan"), 1e29, -1e300, 2.345, None, 0.125]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    row = df.select(rounded(df.x, 2).alias("up"), rounded_even(df.x, 2).alias("even")).collect()
+    assert [str(r.up) for r in row] == ["inf", "-inf", "nan", "1e+29", "-1e+300", "2.35", "None", "0.13"]
+    assert [str(r.even) for r in row] == ["inf", "-inf", "nan", "1e+29", "-1e+300", "2.34", "None", "0.12"]

@@ -118,3 +118,26 @@ def test_scratch_follows_the_shared_folder():
     first, second = (scratch_path(SimpleNamespace(conf=conf), "x") for _ in range(2))
     assert first.startswith("/shared/folder/x-")
     assert first != second
+
+
+def test_numbers_are_sorted_as_numbers_and_dotted_names_work(spark):
+    df = spark.createDataFrame(
+        [(9, "b", 1.5), (100, "a", -2.0), (10, None, None), (None, "a", 10.0)], "`a.b` int, c string, `d.e` double"
+    )
+    rows = profile.distinct_values(df, ["a.b", "c", "d.e"]).collect()
+    values = {c: [r.value for r in rows if r.column_name == c] for c in df.columns}
+    assert values == {"a.b": ["9", "10", "100", None], "c": ["a", "b", None], "d.e": ["-2.0", "1.5", "10.0", None]}
+    listed = {r.column_name: r.is_key for r in profile.column_catalogue(df, "t").collect()}
+    assert listed == {"a.b": False, "c": False, "d.e": False}
+    assert profile.cardinality(df, {"c": "upper"}).first().distinct_raw == 2
+    assert [r["count"] for r in profile.most_frequent(df, "a.b", 5).collect()] == [1, 1, 1]
+
+
+def test_tables_are_listed_from_the_folder(spark, tmp_path):
+    from tallyroom.registry import queries
+
+    spark.range(3).write.parquet(str(tmp_path / "extra.parquet"))
+    spark.range(5).coalesce(1).write.parquet(str(tmp_path / "region.parquet"))
+    (tmp_path / "notes.txt").write_text("no table")
+    rows = queries()["cat_tables"](spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, rows)) == [("extra", 3), ("region", 5)]

@@ -84,6 +84,19 @@ def test_repeated_rows(spark):
         assert sorted((r.t, r["count"]) for r in counts) == [(t, t) for t in (1, 2, 6, 7, 50)]
 
 
+def test_counts_below_one_and_null_count_as_one(spark):
+    df = spark.createDataFrame([(0, 0), (1, -1), (2, None), (3, 2)], "i int, t int")
+    counts = {r.i: r["count"] for r in repeat_rows(df, F.col("t")).groupBy("i").count().collect()}
+    assert counts == {0: 1, 1: 1, 2: 1, 3: 2}
+
+
+def test_copies_of_one_row_spread_over_the_tasks(spark):
+    df = spark.createDataFrame([(0, 100_000), *[(i, 10) for i in range(1, 200)]], "i int, t int")
+    tasks = repeat_rows(df, F.col("t")).groupBy(F.spark_partition_id()).count().collect()
+    sizes = sorted(r["count"] for r in tasks)
+    assert len(sizes) >= 6 and sizes[-1] <= 2.5 * sum(sizes) / len(sizes)
+
+
 def test_user_with_a_third_of_the_user_rows(spark, rows):
     """Every row of the user gives each of its months, as a join would."""
     users = rows.select(
