@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import atexit
 import gc
-import tempfile
+import io
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
@@ -34,12 +34,16 @@ def ship(spark: SparkSession) -> None:
     context = spark.sparkContext
     if getattr(context, "_tallyroom_shipped", False):
         return
-    folder = tempfile.mkdtemp(prefix="tallyroom-code-")
-    archive = Path(folder) / "tallyroom_llm.zip"
+    archive = io.BytesIO()
     with zipfile.ZipFile(archive, "w") as out:
         for file in sorted(PACKAGE.rglob("*.py")):
             out.write(file, Path(PACKAGE.name) / file.relative_to(PACKAGE))
-    context.addPyFile(str(archive))
+    path = scratch_path(spark, "code") + "/tallyroom_code.zip"
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    stream = place.getFileSystem(context._jsc.hadoopConfiguration()).create(place)
+    stream.write(archive.getvalue())
+    stream.close()
+    context.addPyFile(path)
     context._tallyroom_shipped = True
 
 
