@@ -7,6 +7,7 @@ position in its source. It must be unique.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,13 +33,19 @@ def flag_later(
 ) -> DataFrame:
     """A boolean per entry of ``flags``: whether an earlier row has equal keys.
 
-    The firsts come back by position, which is unique, so these joins spread
-    evenly however large a group of equal rows is.
+    The firsts of all keys together hold those of every part of them, so the
+    table is combined once. All flags come back in one join by position, which
+    is unique, so it spreads evenly however large a group of equal rows is.
     """
-    out = df
-    for flag, keys in flags.items():
-        firsts = first_rows(df, keys, position).select(position, F.lit(False).alias(flag))
-        out = out.join(firsts, position, "left")
-    return out.select(
-        *df.columns, *[F.coalesce(F.col(flag), F.lit(True)).alias(flag) for flag in flags]
+    wide = [c for c in df.columns if any(c in keys for keys in flags.values())]
+    rows = first_rows(df, wide, position)
+    marks = [
+        (rows if set(keys) == set(wide) else first_rows(rows, keys, position)).select(
+            position, *[F.lit(flag == other).alias(other) for other in flags]
+        )
+        for flag, keys in flags.items()
+    ]
+    firsts = reduce(DataFrame.union, marks).groupBy(position).agg(*[F.bool_or(f).alias(f) for f in flags])
+    return df.join(firsts, position, "left").select(
+        *df.columns, *[(~F.coalesce(F.col(flag), F.lit(False))).alias(flag) for flag in flags]
     )

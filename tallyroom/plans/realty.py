@@ -193,22 +193,36 @@ def seasonality(kept: DataFrame, ads: DataFrame) -> DataFrame:
 
 
 def city_ranking(kept: DataFrame, city: DataFrame, ads: DataFrame, k: int = 10) -> DataFrame:
-    """The cities outside the capital with most listings; ties go by name."""
-    days = F.col("days_exposition")
-    listed = kept.filter(F.col("id").isNotNull())
-    outside = with_region(listed, city).filter(F.col("city_part") == REGION)
-    return (
-        outside.join(city, "city_id", "left")
+    """The cities outside the capital with most listings; ties go by name.
+
+    Listings are summed per ``city_id`` before they meet the names, so a city
+    with a third of them is one row in those joins.
+    """
+    days, area = F.col("days_exposition"), F.col("total_area")
+    price = F.col("last_price") / area
+    sums = {
+        "cnt_amount": F.count("*"), "sold": F.count(days), "days": F.sum(days), "price": F.sum(price),
+        "prices": F.count(price), "area": F.sum(area), "areas": F.count(area),
+    }
+    per_id = (
+        kept.filter(F.col("id").isNotNull())
         .join(ads, "id", "left")
+        .groupBy("city_id")
+        .agg(*[value.alias(name) for name, value in sums.items()])
+    )
+    return (
+        with_region(per_id, city)
+        .filter(F.col("city_part") == REGION)
+        .join(city, "city_id", "left")
         .groupBy("city")
-        .agg(
-            F.count("*").alias("cnt_amount"),
-            rounded(F.count(days) * 100.0 / F.count("*"), 2).alias("share_sold"),
-            rounded(F.avg(F.col("last_price") / F.col("total_area")), 2).alias(
-                "avg_price_per_sqm"
-            ),
-            rounded(F.avg("total_area"), 2).alias("avg_area"),
-            rounded(F.avg(days), 2).alias("avg_days_publication"),
+        .agg(*[F.sum(name).alias(name) for name in sums])
+        .select(
+            "city",
+            "cnt_amount",
+            rounded(F.col("sold") * 100.0 / F.col("cnt_amount"), 2).alias("share_sold"),
+            rounded(F.try_divide("price", "prices"), 2).alias("avg_price_per_sqm"),
+            rounded(F.try_divide("area", "areas"), 2).alias("avg_area"),
+            rounded(F.try_divide("days", "sold"), 2).alias("avg_days_publication"),
         )
         .orderBy(F.desc("cnt_amount"), F.col("city").asc_nulls_last())
         .limit(k)

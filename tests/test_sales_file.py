@@ -225,3 +225,10 @@ def test_rows_are_numbered_by_file_and_place(spark, tmp_path):
             spark.conf.unset("spark.sql.files.maxPartitionBytes")
         assert [r["Name"] for r in sorted(rows, key=lambda r: r.row_id)] == names
         assert sorted(r.row_id for r in rows) == list(range(3000))
+
+
+def test_all_flags_come_back_in_one_join(spark, games):
+    ours, _ = games
+    flagged = game_sales.duplicate_flags(ours)
+    plan = flagged._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1
