@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import atexit
-import gc
 import io
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
@@ -81,12 +80,6 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
-def release(spark: SparkSession) -> None:
-    """Have Spark delete the shuffle files that no plan refers to any more, before the next large ones are written."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def schema_of(df: DataFrame, columns: Iterable[str], extra: str) -> T.StructType:
     """The named columns of ``df`` and then the fields that ``extra`` declares."""
     kept = [df.schema[c] for c in columns]
