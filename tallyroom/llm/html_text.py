@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,8 +43,17 @@ LABELS = frozenset(
 ROLES = frozenset(
     "alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split()
 )
+# Those of them that mark comments, and that mark lists of other pages' texts.
+COMMENTS = frozenset("comment comments commentlist disqus replies reply respond".split())
+OTHERS = frozenset(
+    "outbrain promo promotion promotions recommended related sidebar sidenav sponsor sponsored sponsors taboola teaser "
+    "widget widgets".split()
+)
 #: Elements that hold the article where a page names one.
 ARTICLE = frozenset(("article", "main"))
+# Elements that end tags of others do not reach out of, and end tags that do all the same.
+CELLS = frozenset(("caption", "td", "th"))
+ACROSS = CELLS | ARTICLE | frozenset(("body", "html", "table", "tbody", "tfoot", "thead", "tr"))
 
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
@@ -56,13 +66,15 @@ MARK = re.compile(r"""\b(class|id|role|hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|(
 WINDOW = 3
 #: A line block under this share of the page's largest one is outside the article.
 SURGE = 0.2
+#: Parts of their length that links in an article, and text outside one that the page names, weigh.
+LINKED, OUTSIDE = 4, 4
 
 
 def is_furniture(name: str, attributes: str, inside: bool) -> bool:
     """``inside``: within an article, where a header holds its title."""
     if name in FURNITURE or name == "header" and not inside:
         return True
-    if not attributes or name in ARTICLE or name in ("html", "body"):
+    if not attributes or name in ("html", "body"):
         return False
     for key, *values in MARK.findall(attributes):
         value = "".join(values).lower()
@@ -78,22 +90,114 @@ def is_furniture(name: str, attributes: str, inside: bool) -> bool:
     return False
 
 
-def lines_of(page: str) -> tuple[list[str], list[int], list[bool]]:
-    """The page's lines, how many of each line's characters are links, and whether it lies in an article."""
+def keeps_articles(name: str, attributes: str, ended: bool) -> bool:
+    """Whether articles in this furniture are comments or teasers, not the page's own.
+
+    Furniture without an end tag (``ended``) was left open, unless it holds comments.
+    """
+    words = re.split(r"[^a-z0-9]+", " ".join("".join(v) for _, *v in MARK.findall(attributes)).lower())
+    return not COMMENTS.isdisjoint(words) or ended and (name == "aside" or not OTHERS.isdisjoint(words))
+
+
+class Open:
+    """The open elements, innermost last. Each has a number, and what else the caller keeps of it."""
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[str, int]] = []
+        self.places: dict[str, list[int]] = {}
+
+    def nearest(self, *names: str) -> int:
+        """Where the innermost element of one of these names lies, -1 if none is open."""
+        return max((self.places[n][-1] for n in names if self.places.get(n)), default=-1)
+
+    def push(self, name: str, number: int) -> None:
+        self.places.setdefault(name, []).append(len(self.stack))
+        self.stack.append((name, number))
+
+    def cut(self, place: int) -> list[int]:
+        """Close the element at ``place`` and all within it; their numbers, innermost first."""
+        closed = []
+        while len(self.stack) > place:
+            name, number = self.stack.pop()
+            self.places[name].pop()
+            closed.append(number)
+        return closed
+
+    def ended(self, name: str) -> list[int]:
+        """An end tag: the numbers of the elements it closes, none if no such element is open here."""
+        place = self.nearest(name)
+        return self.cut(place) if place >= 0 and (name in ACROSS or place > self.nearest(*CELLS)) else []
+
+
+def tokens(page: str) -> Iterator[tuple[str, str, str, bool]]:
+    """Texts as ``(text, "", "", False)`` and tags as ``("", name, attributes, closing)``.
+
+    An element whose content is not markup comes as a tag that closes itself.
+    """
+    place, n = 0, len(page)
+    while place < n:
+        tag = TAG.search(page, place)
+        if tag is None:
+            yield page[place:], "", "", False
+            return
+        if tag.start() > place:
+            yield page[place : tag.start()], "", "", False
+        place = tag.end()
+        name = (tag[2] or tag[5] or "").lower()
+        if not name:
+            continue
+        closing = bool(tag[1] or tag[4])
+        attributes = tag[3] or tag[6] or ""
+        if name in RAW and not closing and not attributes.endswith("/"):
+            # Up to the end tag nothing is markup.
+            stop = re.compile(rf"</{name}\s*>", re.IGNORECASE).search(page, place)
+            place = stop.end() if stop else n
+            attributes += "/"
+        yield "", name, attributes, closing
+
+
+def structure(page: str) -> tuple[list[tuple[str, str, str, int]], set[int]]:
+    """The page in order, and which elements have an end tag of their own.
+
+    Its parts are kind, name, attributes and number. Kinds are ``text`` (the
+    text for a name), ``open``, ``close``, ``empty``, and ``stray`` for an end
+    tag of nothing.
+    """
+    found: list[tuple[str, str, str, int]] = []
+    ended: set[int] = set()
+    names: list[str] = []
+    open_ = Open()
+    for text, name, attributes, closing in tokens(page):
+        if not name:
+            found.append(("text", text, "", -1))
+        elif closing:
+            closed = [] if name in VOID else open_.ended(name)
+            found += [("close", names[i], "", i) for i in closed] or [("stray", name, "", -1)]
+            ended.update(closed[-1:])
+        elif name in VOID or attributes.endswith("/"):
+            found.append(("empty", name, attributes, -1))
+        else:
+            open_.push(name, len(names))
+            found.append(("open", name, attributes, len(names)))
+            names.append(name)
+    found += [("close", names[i], "", i) for i in open_.cut(0)]
+    return found, ended
+
+
+def lines_of(page: str) -> tuple[list[str], list[int], list[int]]:
+    """The page's lines, how many of each line's characters are links, and the number of its outermost article or -1.
+
+    Where furniture was, a line has no text, so that the distribution dives.
+    """
     lines: list[str] = []
     links: list[int] = []
-    inside: list[bool] = []
+    inside: list[int] = []
     parts: list[str] = []
     linked = 0
-    depth = anchors = 0
-    place = 0
-    skip, skipped = "", 0
-
-    def add(text: str) -> None:
-        nonlocal linked
-        if text:
-            parts.append(text)
-            linked += len(text) * (anchors > 0)
+    anchors = 0
+    articles: list[int] = []
+    # Open furniture, outermost first: its number, and whether articles in it are skipped too.
+    skipped: list[tuple[int, bool]] = []
 
     def end() -> None:
         nonlocal linked
@@ -102,65 +206,46 @@ def lines_of(page: str) -> tuple[list[str], list[int], list[bool]]:
             if line:
                 lines.append(line)
                 links.append(min(len(line), linked))
-                inside.append(depth > 0)
+                inside.append(articles[0] if articles else -1)
             parts.clear()
         linked = 0
 
     def gap() -> None:
-        """Where furniture was: a line without text, so that the distribution dives."""
         end()
         if lines and lines[-1]:
             lines.append("")
             links.append(0)
-            inside.append(depth > 0)
+            inside.append(articles[0] if articles else -1)
 
-    n = len(page)
-    while place < n:
-        tag = TAG.search(page, place)
-        if tag is None:
-            if not skip:
-                add(page[place:])
-            break
-        if not skip:
-            add(page[place : tag.start()])
-        place = tag.end()
-        name = (tag[2] or tag[5] or "").lower()
-        if not name:
+    found, ended = structure(page)
+    for kind, name, attributes, number in found:
+        if kind == "text":
+            if not skipped:
+                parts.append(name)
+                linked += len(name) * (anchors > 0)
             continue
-        closing = bool(tag[1] or tag[4])
-        attributes = tag[3] or tag[6] or ""
-        empty = name in VOID or attributes.endswith("/")
-        raw = name in RAW and not closing and not empty
-        if raw:
-            # Up to the end tag nothing is markup.
-            stop = re.compile(rf"</{name}\s*>", re.IGNORECASE).search(page, place)
-            place = stop.end() if stop else n
-        if skip:
-            # Furniture ends with its end tag, or where an article or the body's end shows it was left open.
-            if name == skip and not empty and not raw:
-                skipped += -1 if closing else 1
-            if skipped <= 0 or (name in ARTICLE and not closing) or (name in ("body", "html") and closing):
-                skip = ""
+        if kind == "open":
+            furniture = is_furniture(name, attributes, bool(articles))
+            if name in ARTICLE and not furniture and not any(keeps for _, keeps in skipped):
+                skipped.clear()
+            if furniture:
+                gap()
+                skipped.append((number, keeps_articles(name, attributes, number in ended)))
+        if skipped:
+            if kind == "close" and number == skipped[-1][0]:
+                skipped.pop()
                 gap()
-                if name not in ARTICLE or closing:
-                    continue
-            else:
-                continue
-        if raw:
-            if name in BLOCKS:
-                end()
-            continue
-        if not closing and not empty and is_furniture(name, attributes, depth > 0):
-            gap()
-            skip, skipped = name, 1
             continue
         if name in BLOCKS:
             end()
             anchors = 0
-        if name in ARTICLE and not empty:
-            depth = max(0, depth + (-1 if closing else 1))
-        elif name == "a" and not empty:
-            anchors = 0 if closing else 1
+        if name in ARTICLE:
+            if kind == "open":
+                articles.append(number)
+            elif number in articles:
+                articles.remove(number)
+        elif name == "a" and kind != "empty":
+            anchors = kind == "open"
     end()
     return lines, links, inside
 
@@ -171,25 +256,33 @@ def main_text(page: str | None) -> str:
     A line weighs as much as its text outside links; a line that is mostly
     links weighs nothing. The article surges where a line block reaches
     ``SURGE`` of the largest one, and dives at the next line without weight.
-    Where a page names its article, lines outside weigh nothing, and any text
-    inside is a surge.
+    Where a page names its article, that is a weight: links inside weigh a
+    ``LINKED`` of their text, and text outside an ``OUTSIDE``. A line block
+    does not reach across an article's border, and inside one the article
+    extends from a surge to both sides.
     """
     lines, links, inside = lines_of(page or "")
-    if any(inside):
-        weights = [len(line) * kept for line, kept in zip(lines, inside, strict=True)]
-        share = 0.0
-    else:
-        weights = [
-            0 if 2 * linked > len(line) else len(line) - linked
-            for line, linked in zip(lines, links, strict=True)
-        ]
-        share = SURGE
-    blocks = [sum(weights[i : i + WINDOW]) for i in range(len(weights))]
-    least = max(1.0, share * max(blocks, default=0))
+    named = any(i >= 0 for i in inside)
+    weights = []
+    for line, linked, article in zip(lines, links, inside, strict=True):
+        if article >= 0:
+            weights.append(len(line) - linked + linked / LINKED)
+        elif 2 * linked > len(line):
+            weights.append(0)
+        else:
+            weights.append((len(line) - linked) / (OUTSIDE if named else 1))
+    blocks = [
+        sum(w for w, a in zip(weights[i : i + WINDOW], inside[i : i + WINDOW], strict=True) if a == inside[i])
+        for i in range(len(weights))
+    ]
+    least = max(1.0, SURGE * max(blocks, default=0))
+    surging = {a for a, block in zip(inside, blocks, strict=True) if a >= 0 and block >= least}
     kept: list[str] = []
     surged = False
-    for line, weight, block in zip(lines, weights, blocks, strict=True):
-        surged = weight > 0 and (surged or block >= least)
+    before = -1
+    for line, weight, block, article in zip(lines, weights, blocks, inside, strict=True):
+        surged = weight > 0 and (surged and article == before or block >= least or article in surging)
+        before = article
         if surged:
             kept.append(line)
     return "\n".join(kept)

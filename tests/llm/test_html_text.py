@@ -73,3 +73,21 @@ def test_any_markup_gives_clean_lines(page):
 def test_time_follows_length():
     for piece in ("<a '", "<!-", "<p", "</nav", "<script>", "&", "<div class=\"ad\">"):
         main_text(piece * 20000)
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        # The post is no article, its comments are.
+        (f"<div><h1>Title</h1><p>{PROSE}</p><p>{PROSE}</p></div><ol class=comments><li><article class=comment><p>First!</p>"
+         f"</article><li><article><p>{PROSE}</p></article></ol>", f"Title\n{PROSE}\n{PROSE}"),
+        (f"<article class=comment><p>First!</p></article><p>{PROSE}</p>", PROSE),
+        # Text outside a named article counts for less, but a long one is there.
+        (f"<p>Hello.</p><article><p>{PROSE}</p></article><p>Bye.</p>", PROSE),
+        (f"<div><p>{PROSE * 9}</p></div><article><p>Teaser {PROSE}</p></article>", f"{PROSE * 9}\nTeaser {PROSE}"),
+        (f"<aside><article>Other</article></aside><article><p>Lead.</p><p>{PROSE * 9}</p></article>",
+         f"Lead.\n{PROSE * 9}"),
+    ],
+)
+def test_line_blocks_decide_on_pages_with_articles(page, text):
+    assert main_text(page) == text
