@@ -6,7 +6,9 @@ have equal anchors at the same offset, and only anchors that occur twice matter.
 The strings of one anchor form a snippet. Equal snippets are settled by their
 first occurrence; where the snippets of an anchor differ, one of each goes to
 the anchor's shard. There a suffix array by induced sorting and its permuted
-common prefixes show which strings are equal.
+common prefixes show which strings are equal. Only for an anchor with too many
+different snippets each string is hashed, and equal hashes are settled by their
+first occurrence.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ LENGTH = 100
 GRAM = 24
 #: Bytes of texts hashed together.
 CHUNK = 4 << 20
-#: Snippets of a shard, about; an anchor with more is dealt string by string.
+#: Snippets of a shard, about, and most of an anchor that goes to one; beyond, its strings are settled by hashes.
 SHARD, HOT = 8192, 16_384
 NULL_KEY = 2**63 - 1
 
@@ -192,6 +194,58 @@ def anchored(texts: DataFrame, length: int, gram: int) -> DataFrame:
     return texts.mapInArrow(run, ANCHOR)
 
 
+def hot_strings(texts: DataFrame, keys: list[int], length: int, gram: int) -> DataFrame:
+    """``doc, print, key, low, strings``: per snippet of the anchors ``keys`` the hashes of its strings."""
+    hot = np.array(keys, np.int64)
+
+    def run(batches):
+        for batch in _chunks(batches, 2):
+            data, ends = _end_to_end(batch.column(2))
+            key, _, low, high, hashes = anchors(data, ends, length, gram)
+            pick = np.flatnonzero(np.isin(key.view(np.int64), hot))
+            if not len(pick):
+                continue
+            key, low, count = key[pick], low[pick], high[pick] - low[pick] + 1
+            offsets = np.r_[0, np.cumsum(count)]
+            start = np.arange(offsets[-1]) + np.repeat(low - offsets[:-1], count)
+            strings = pa.array(hashes.of(start, start + length).view(np.int64))
+            text = np.searchsorted(ends, low, side="right")
+            rows = pa.array(text)
+            arrays = [
+                batch.column(0).take(rows),
+                batch.column(1).take(rows),
+                pa.array(key.view(np.int64)),
+                pa.array((low - np.r_[0, ends[:-1]][text]).astype(np.int32)),
+                pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), strings),
+            ]
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc", "print", "key", "low", "strings"])
+
+    return texts.mapInArrow(run, "doc long, print long, key long, low int, strings array<long>")
+
+
+def _settle_hot(texts: DataFrame, snippets: DataFrame, length: int, gram: int) -> DataFrame | None:
+    """``doc, print, begin, end`` to remove in the ``snippets (doc, print, key, low)`` of hot anchors, if there are any.
+
+    An anchor's equal strings have equal hashes: the first place of each is a
+    minimum, combined before its shuffle, and the others follow from a join,
+    whose hot strings Spark splits. No task gathers a string's places.
+    """
+    # One key for over HOT snippets.
+    keys = [r.key for r in snippets.select("key").distinct().collect()]
+    if not keys:
+        return None
+    where = ["doc", "print", "key", "low"]
+    found = hot_strings(texts, keys, length, gram).join(snippets.select(*where), where, "left_semi")
+    each = stored(found, "hot-strings").select("doc", "print", "key", "low", F.posexplode("strings").alias("at", "string"))
+    each = each.select("doc", "print", "key", "string", (F.col("low") + F.col("at")).alias("start"))
+    place = F.struct("doc", "print", "start")
+    first = each.groupBy("key", "string").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1")
+    first = stored(first.drop("n"), "first-strings")
+    later = each.join(first, ["key", "string"]).filter(place != F.col("first"))
+    begin = F.col("start").cast("long")
+    return later.select("doc", "print", begin.alias("begin"), (begin + length).alias("end"))
+
+
 def repeated_strings(
     snippets: np.ndarray, sizes: np.ndarray, order: np.ndarray, at: np.ndarray, length: int
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -302,25 +356,20 @@ def spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame
     open_ = stored(
         first.join(mixed, "key").select("key", "first.doc", "first.print", "first.low", "strings", "snippets"), "open-anchors"
     )
+    hot = _settle_hot(texts, open_.filter(F.col("snippets") > HOT), length, gram)
+    settled = settled if hot is None else settled.union(hot)
+    open_ = open_.filter(F.col("snippets") <= HOT)
     shards = max(1, -(-open_.count() // SHARD))
-    wanted = open_.groupBy("doc", "print").agg(
-        F.collect_list(F.struct("key", "low", "strings", "snippets")).alias("wanted")
-    )
+    wanted = open_.groupBy("doc", "print").agg(F.collect_list(F.struct("key", "low", "strings")).alias("wanted"))
 
     def cut(batches):
-        """The bytes of each snippet; of a hot anchor, each of its strings on its own."""
+        """The bytes of each snippet."""
         for batch in batches:
             rows = []
             for doc, print_, text, wanted_ in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
                 for w in wanted_:
                     low, strings = w["low"], w["strings"]
-                    if w["snippets"] <= HOT:
-                        rows.append((w["key"] % shards, w["key"], doc, print_, low, text[low : low + strings - 1 + length]))
-                        continue
-                    for at in range(low, low + strings):
-                        string = text[at : at + length]
-                        unit = int.from_bytes(hashlib.blake2b(string, digest_size=7).digest(), "little") % shards
-                        rows.append((unit, w["key"], doc, print_, at, string))
+                    rows.append((w["key"] % shards, w["key"], doc, print_, low, text[low : low + strings - 1 + length]))
             for a in range(0, len(rows), 8192):
                 columns = zip(*rows[a : a + 8192], strict=True)
                 kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]

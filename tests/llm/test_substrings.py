@@ -62,6 +62,25 @@ def test_made_texts(spark, monkeypatch, hot):
     check(spark, list(zip(ids, texts, strict=True)), 12, 5)
 
 
+def test_no_unit_gets_all_places_of_a_hot_string(spark, monkeypatch):
+    """A passage in different contexts: its strings must not meet in one unit, however many documents have it."""
+    monkeypatch.setattr(substrings, "HOT", 20)
+    most = []
+    settle = substrings._settle
+
+    def counted(snippets, *rest):
+        most.append(max([r["count"] for r in snippets.groupBy("unit", "key").count().collect()], default=0))
+        return settle(snippets, *rest)
+
+    monkeypatch.setattr(substrings, "_settle", counted)
+    rng = random.Random(3)
+    prose = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage = prose(20)
+    rows = [(i, prose(30) + passage + prose(30)) for i in range(200)]
+    check(spark, rows + rows[:9] + [(900, rows[5][1])], 16, 6)
+    assert max(most) <= 20
+
+
 def test_edges(spark):
     docs = edge_docs(spark, "doc string, print long, key long, spans string, text_ long")
     rows = substrings.deduplicated(docs).collect()
