@@ -145,14 +145,14 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 def guess_spans(
     text: str, base: list[tuple[int, int, int]], ranks: dict[str, int], longest: int
 ) -> list[tuple[int, int, int]]:
-    """Values in a credential context, outside base spans, that are hard to guess."""
+    """Values in a credential context that are hard to guess, and that no base span covers as a whole."""
     low = text.lower()
     if not any(h in low for h in CONTEXT_HINTS):
         return []
     found = []
     for m in CONTEXT.finditer(text):
         start, end = m.span(1)
-        if end - start < LEAST or any(a < end and start < b for a, _, b in base):
+        if end - start < LEAST or any(a <= start and end <= b for a, _, b in base):
             continue
         if guess_cost(m[1], ranks, longest) >= HARD:
             found.append((start, 3, end))
