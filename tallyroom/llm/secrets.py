@@ -26,10 +26,15 @@ ASSIGN_LEAST, ACCESS_LEAST = 6, 20
 #: What a text must contain for ASSIGN to be worth a search.
 ASSIGN_HINTS = ("password", "passwd", "secret", "token", "api")
 
-# Further words for a credential, and what may stand between one and its value.
+# Further words for a credential, and what may stand between one and its value, authorisation schemes too.
+CONTEXT_WORD = re.compile(
+    r"(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|"
+    r"auth(?:orization)?|credentials?|bearer)",
+    re.I | re.A,
+)
 CONTEXT = re.compile(
-    r"""(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|"""
-    r"""auth(?:orization)?|credentials?|bearer)["'`]?[\x20\t]*(?::|=>?)[\x20\t]*["'`]?([^\s"'`<>,;]+)""",
+    CONTEXT_WORD.pattern + r"""["'`]?[\x20\t]*(?::|=>?)[\x20\t]*["'`]?(?:(?:bearer|basic|token)[\x20\t]+(?![:=])["'`]?)?"""
+    r"""([^\s"'`<>,;]+)""",
     re.I | re.A,
 )
 CONTEXT_HINTS = ("pass", "pwd", "secret", "token", "api", "access", "private", "auth", "credential", "bearer")
@@ -150,8 +155,11 @@ def guess_spans(
     if not any(h in low for h in CONTEXT_HINTS):
         return []
     found = []
-    for m in CONTEXT.finditer(text):
+    place = 0
+    while m := CONTEXT.search(text, place):
         start, end = m.span(1)
+        # A value that is a context word may have the value behind it.
+        place = start if CONTEXT_WORD.fullmatch(m[1].rstrip(":=>")) else end
         if end - start < LEAST or any(a <= start and end <= b for a, _, b in base):
             continue
         if guess_cost(m[1], ranks, longest) >= HARD:

@@ -128,3 +128,24 @@ def test_the_rest_of_a_value_after_a_base_span_goes_too(text, clean):
     base = secrets.base_spans(text)
     spans = sorted(base + secrets.guess_spans(text, base, RANKS, LONGEST))
     assert secrets.redacted(text, spans) == clean
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "Authorization: Bearer {}", '"authorization": "bearer {}"', "auth=Basic\t{} x", "Authorization: token '{}'",
+        "credentials: password: {}", "secret = token => {}", "Authorization: Bearer: {}",
+    ],
+)
+def test_values_after_a_scheme_or_another_context_word(text):
+    value = "eyJhbGci!OiJIUzI1NiJ9.q7Zk-W_x"
+    text = text.format(value)
+    base = secrets.base_spans(text)
+    spans = sorted(base + secrets.guess_spans(text, base, RANKS, LONGEST))
+    assert "eyJ" not in secrets.redacted(text, spans) and "W_x" not in secrets.redacted(text, spans)
+
+
+def test_schemes_and_context_words_are_no_secrets():
+    for text in ("Authorization: Bearer", "token: token", "password: bearer password", "auth: Basic changeme"):
+        assert secrets.guess_spans(text, [], RANKS, LONGEST) == []
+    secrets.guess_spans("token:" * 20000 + "token: " * 20000, [], RANKS, LONGEST)
