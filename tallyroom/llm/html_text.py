@@ -53,6 +53,25 @@ OTHERS = frozenset(
 ARTICLE = frozenset(("article", "main"))
 # Elements that end tags of others do not reach out of, and end tags that do all the same.
 CELLS = frozenset(("caption", "td", "th"))
+# Starts that end an open element of certain names, unless one of the others lies between.
+SECTIONS = ("tbody", "tfoot", "thead", "tr", "caption", "colgroup")
+SIBLINGS = {
+    "li": (("li",), ("ul", "ol", "menu", "dir", "caption", "td", "th", *ARTICLE)),
+    **dict.fromkeys(("dt", "dd"), (("dt", "dd"), ("dl", "caption", "td", "th", *ARTICLE))),
+    **dict.fromkeys(("td", "th"), (("td", "th", "caption"), ("table", "tr"))),
+    "tr": (("tr", "caption", "colgroup"), ("table",)),
+    **dict.fromkeys(("tbody", "tfoot", "thead"), (SECTIONS, ("table",))),
+    "option": (("option",), ("select", "datalist", "optgroup")),
+    "optgroup": (("option", "optgroup"), ("select",)),
+}
+# Starts that end a paragraph, and what a paragraph around does not end at.
+ENDS_P = frozenset(
+    "address article aside blockquote center details dialog dir div dl dt dd li fieldset figcaption figure footer form "
+    "h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section summary table ul".split()
+)
+AROUND_P = ("applet", "button", "caption", "marquee", "object", "table", "td", "template", "th")
+# Elements of a head; any other start ends it.
+OF_HEAD = frozenset("base basefont bgsound link meta noframes noscript object script style template title".split())
 ACROSS = CELLS | ARTICLE | frozenset(("body", "html", "table", "tbody", "tfoot", "thead", "tr"))
 
 TAG = re.compile(
@@ -123,6 +142,21 @@ class Open:
             closed.append(number)
         return closed
 
+    def implied(self, name: str) -> list[int]:
+        """A start tag: the numbers of the elements that it ends, as their end tags may be left out."""
+        closed: list[int] = []
+        if name not in OF_HEAD and self.nearest("head") > self.nearest("noscript", "object", "template"):
+            closed += self.cut(self.nearest("head"))
+        if name in SIBLINGS:
+            names, bounds = SIBLINGS[name]
+            places = [self.nearest(n) for n in names]
+            bound = self.nearest(*bounds)
+            if max(places) > bound:
+                closed += self.cut(min(i for i in places if i > bound))
+        if name in ENDS_P and self.nearest("p") > self.nearest(*AROUND_P):
+            closed += self.cut(self.nearest("p"))
+        return closed
+
     def ended(self, name: str) -> list[int]:
         """An end tag: the numbers of the elements it closes, none if no such element is open here."""
         place = self.nearest(name)
@@ -175,8 +209,10 @@ def structure(page: str) -> tuple[list[tuple[str, str, str, int]], set[int]]:
             found += [("close", names[i], "", i) for i in closed] or [("stray", name, "", -1)]
             ended.update(closed[-1:])
         elif name in VOID or attributes.endswith("/"):
+            found += [("close", names[i], "", i) for i in open_.implied(name)]
             found.append(("empty", name, attributes, -1))
         else:
+            found += [("close", names[i], "", i) for i in open_.implied(name)]
             open_.push(name, len(names))
             found.append(("open", name, attributes, len(names)))
             names.append(name)

@@ -91,3 +91,20 @@ def test_time_follows_length():
 )
 def test_line_blocks_decide_on_pages_with_articles(page, text):
     assert main_text(page) == text
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<article><p class=notice>Moved<p>First<p>Second</article>", "First\nSecond"),
+        ("<article><p class=notice>Moved<h2>Head</h2>First</article>", "Head\nFirst"),
+        ("<article><ul><li class=ad>Buy<ul><li>x</ul>y<li>one<li>two</ul><p>End</article>", "one\ntwo\nEnd"),
+        ("<article><dl><dt>a<dd class=ad>Buy<dt>b<dd>c</dl></article>", "a\nb\nc"),
+        ("<article><table><tr><td class=ad>Buy<td>one<tr class=ad><td>no<tr><td>two</table></article>", "one\ntwo"),
+        ("<article><div><p class=ad>Buy</div><p>one</article>", "one"),
+        (f"<html><head><title>T</title><meta name=a><body><p>{PROSE}", PROSE),
+        (f"<head><noscript><p>no</p></noscript><link rel=a><p>{PROSE}", PROSE),
+    ],
+)
+def test_end_tags_may_be_left_out(page, text):
+    assert main_text(page) == text
