@@ -10,6 +10,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,7 +32,7 @@ FURNITURE = frozenset(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 # Elements whose content is not markup.
 RAW = frozenset("script style textarea title iframe noframes xmp noembed".split())
-# Words of a class or id, and roles, that mark page furniture.
+# Words of a class or id that make an element weigh less, and roles that mark page furniture.
 LABELS = frozenset(
     "ad ads adbox advert adverts advertisement advertising alert alerts banner banners breadcrumb breadcrumbs "
     "captcha comment comments commentlist consent cookie cookies copyright disclaimer disqus footer footnav gdpr "
@@ -49,6 +50,10 @@ OTHERS = frozenset(
     "outbrain promo promotion promotions recommended related sidebar sidenav sponsor sponsored sponsors taboola teaser "
     "widget widgets".split()
 )
+# Words before a label that say it is elsewhere, absent or a topic.
+MODIFIERS = frozenset("category has have hide hides no non not tag topic with without".split())
+# Elements whose id is an anchor for links, not a label.
+ANCHORED = frozenset("blockquote dd dt h1 h2 h3 h4 h5 h6 p pre".split())
 #: Elements that hold the article where a page names one.
 ARTICLE = frozenset(("article", "main"))
 # Elements that end tags of others do not reach out of, and end tags that do all the same.
@@ -85,8 +90,23 @@ MARK = re.compile(r"""\b(class|id|role|hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|(
 WINDOW = 3
 #: A line block under this share of the page's largest one is outside the article.
 SURGE = 0.2
-#: Parts of their length that links in an article, and text outside one that the page names, weigh.
+#: The parts (one in so many) of their length that links in an article, and text outside one that the page names, weigh.
 LINKED, OUTSIDE = 4, 4
+#: The part (one in so many) that text in a labelled element weighs.
+LABELLED = 10
+
+
+def labels_of(name: str, attributes: str) -> set[str]:
+    """The words of class and id that mark furniture. What a has- or no- names is elsewhere or nowhere."""
+    found: set[str] = set()
+    for key, *values in MARK.findall(attributes):
+        key = key.lower()
+        if key == "class" or key == "id" and name not in ANCHORED:
+            for token in "".join(values).lower().split():
+                words = re.split(r"[^a-z0-9]+", token)
+                plain = next((i for i, word in enumerate(words) if word in MODIFIERS), len(words))
+                found.update(LABELS.intersection(words[:plain]))
+    return found
 
 
 def is_furniture(name: str, attributes: str, inside: bool) -> bool:
@@ -96,17 +116,16 @@ def is_furniture(name: str, attributes: str, inside: bool) -> bool:
     if not attributes or name in ("html", "body"):
         return False
     for key, *values in MARK.findall(attributes):
-        value = "".join(values).lower()
-        if key.lower() == "role":
-            if value.strip() in ROLES:
-                return True
-        elif key.lower() == "hidden":
+        if key.lower() == "role" and "".join(values).lower().strip() in ROLES or key.lower() == "hidden":
             return True
-        else:
-            words = re.split(r"[^a-z0-9]+", value)
-            if not LABELS.isdisjoint(words) and not (inside and name == "header"):
-                return True
-    return False
+    return not COMMENTS.isdisjoint(labels_of(name, attributes))
+
+
+def is_labelled(name: str, attributes: str, inside: bool) -> bool:
+    """Whether class or id mark this as furniture, which weighs less than other text."""
+    if not attributes or name in ("html", "body") or inside and name == "header":
+        return False
+    return bool(labels_of(name, attributes))
 
 
 def keeps_articles(name: str, attributes: str, ended: bool) -> bool:
@@ -114,8 +133,8 @@ def keeps_articles(name: str, attributes: str, ended: bool) -> bool:
 
     Furniture without an end tag (``ended``) was left open, unless it holds comments.
     """
-    words = re.split(r"[^a-z0-9]+", " ".join("".join(v) for _, *v in MARK.findall(attributes)).lower())
-    return not COMMENTS.isdisjoint(words) or ended and (name == "aside" or not OTHERS.isdisjoint(words))
+    labels = labels_of(name, attributes)
+    return not COMMENTS.isdisjoint(labels) or ended and (name == "aside" or not OTHERS.isdisjoint(labels))
 
 
 class Open:
@@ -220,38 +239,46 @@ def structure(page: str) -> tuple[list[tuple[str, str, str, int]], set[int]]:
     return found, ended
 
 
-def lines_of(page: str) -> tuple[list[str], list[int], list[int]]:
-    """The page's lines, how many of each line's characters are links, and the number of its outermost article or -1.
+class Line(NamedTuple):
+    """``text`` is empty where furniture was, so that the distribution dives."""
 
-    Where furniture was, a line has no text, so that the distribution dives.
-    """
-    lines: list[str] = []
-    links: list[int] = []
-    inside: list[int] = []
+    text: str
+    #: Characters that are links.
+    linked: int
+    #: The numbers of the outermost article and of the innermost labelled element, or -1.
+    article: int
+    label: int
+    #: How many labelled elements it lies in.
+    labels: int
+
+
+def lines_of(page: str) -> list[Line]:
+    lines: list[Line] = []
     parts: list[str] = []
     linked = 0
     anchors = 0
     articles: list[int] = []
-    # Open furniture, outermost first: its number, and whether articles in it are skipped too.
+    # Open furniture and labelled elements, outermost first: the number, and whether articles in it are others' too.
     skipped: list[tuple[int, bool]] = []
+    labelled: list[tuple[int, bool]] = []
+
+    def add(text: str) -> None:
+        within = articles[0] if articles else -1, labelled[-1][0] if labelled else -1, len(labelled)
+        lines.append(Line(text, min(len(text), linked), *within))
 
     def end() -> None:
         nonlocal linked
         if parts:
-            line = " ".join(html.unescape("".join(parts)).split())
-            if line:
-                lines.append(line)
-                links.append(min(len(line), linked))
-                inside.append(articles[0] if articles else -1)
+            text = " ".join(html.unescape("".join(parts)).split())
+            if text:
+                add(text)
             parts.clear()
         linked = 0
 
     def gap() -> None:
         end()
-        if lines and lines[-1]:
-            lines.append("")
-            links.append(0)
-            inside.append(articles[0] if articles else -1)
+        if lines and lines[-1].text:
+            add("")
 
     found, ended = structure(page)
     for kind, name, attributes, number in found:
@@ -262,11 +289,18 @@ def lines_of(page: str) -> tuple[list[str], list[int], list[int]]:
             continue
         if kind == "open":
             furniture = is_furniture(name, attributes, bool(articles))
-            if name in ARTICLE and not furniture and not any(keeps for _, keeps in skipped):
+            label = not furniture and is_labelled(name, attributes, bool(articles))
+            if name in ARTICLE and not (furniture or label) and not any(keeps for _, keeps in skipped + labelled):
+                gap()
                 skipped.clear()
-            if furniture:
+                labelled.clear()
+            if furniture or label:
                 gap()
-                skipped.append((number, keeps_articles(name, attributes, number in ended)))
+                keeps = keeps_articles(name, attributes, number in ended)
+                (skipped if furniture else labelled).append((number, keeps))
+        elif kind == "close" and labelled and number == labelled[-1][0]:
+            gap()
+            labelled.pop()
         if skipped:
             if kind == "close" and number == skipped[-1][0]:
                 skipped.pop()
@@ -276,14 +310,14 @@ def lines_of(page: str) -> tuple[list[str], list[int], list[int]]:
             end()
             anchors = 0
         if name in ARTICLE:
-            if kind == "open":
+            if kind == "open" and not labelled:
                 articles.append(number)
             elif number in articles:
                 articles.remove(number)
         elif name == "a" and kind != "empty":
             anchors = kind == "open"
     end()
-    return lines, links, inside
+    return lines
 
 
 def main_text(page: str | None) -> str:
@@ -293,34 +327,38 @@ def main_text(page: str | None) -> str:
     links weighs nothing. The article surges where a line block reaches
     ``SURGE`` of the largest one, and dives at the next line without weight.
     Where a page names its article, that is a weight: links inside weigh a
-    ``LINKED`` of their text, and text outside an ``OUTSIDE``. A line block
-    does not reach across an article's border, and inside one the article
-    extends from a surge to both sides.
+    ``LINKED`` of their text, and text outside an ``OUTSIDE``. A label makes
+    text weigh a ``LABELLED``. A line block does not reach across the border of
+    an article or labelled element, and inside an article the text extends from
+    a surge to both sides.
     """
-    lines, links, inside = lines_of(page or "")
-    named = any(i >= 0 for i in inside)
-    weights = []
-    for line, linked, article in zip(lines, links, inside, strict=True):
-        if article >= 0:
-            weights.append(len(line) - linked + linked / LINKED)
-        elif 2 * linked > len(line):
-            weights.append(0)
-        else:
-            weights.append((len(line) - linked) / (OUTSIDE if named else 1))
+    lines = lines_of(page or "")
+    named = any(line.article >= 0 for line in lines)
+    weights: list[float] = []
+    for line in lines:
+        rest = len(line.text) - line.linked
+        if line.article >= 0:
+            rest += line.linked / LINKED
+        elif line.linked > rest:
+            rest = 0
+        elif named:
+            rest /= OUTSIDE
+        weights.append(rest / LABELLED ** min(line.labels, 9))
+    regions = [(line.article, line.label) for line in lines]
     blocks = [
-        sum(w for w, a in zip(weights[i : i + WINDOW], inside[i : i + WINDOW], strict=True) if a == inside[i])
+        sum(w for w, r in zip(weights[i : i + WINDOW], regions[i : i + WINDOW], strict=True) if r == regions[i])
         for i in range(len(weights))
     ]
     least = max(1.0, SURGE * max(blocks, default=0))
-    surging = {a for a, block in zip(inside, blocks, strict=True) if a >= 0 and block >= least}
+    surging = {r for r, block in zip(regions, blocks, strict=True) if r[0] >= 0 and block >= least}
     kept: list[str] = []
     surged = False
-    before = -1
-    for line, weight, block, article in zip(lines, weights, blocks, inside, strict=True):
-        surged = weight > 0 and (surged and article == before or block >= least or article in surging)
-        before = article
+    before = (-1, -1)
+    for line, weight, block, region in zip(lines, weights, blocks, regions, strict=True):
+        surged = weight > 0 and (surged and region == before or block >= least or region in surging)
+        before = region
         if surged:
-            kept.append(line)
+            kept.append(line.text)
     return "\n".join(kept)
 
 

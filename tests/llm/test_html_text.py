@@ -108,3 +108,21 @@ def test_line_blocks_decide_on_pages_with_articles(page, text):
 )
 def test_end_tags_may_be_left_out(page, text):
     assert main_text(page) == text
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f"<div class='content has-sidebar'><p>{PROSE}</p></div>", PROSE),
+        (f"<div id=main class=no-comments><p>{PROSE}</p></div>", PROSE),
+        (f"<div class='sidebar-layout'><p>{PROSE}</p><p>{PROSE}</p></div>", f"{PROSE}\n{PROSE}"),
+        (f"<article class='hentry category-social tag-search'><p>{PROSE}</p></article>", PROSE),
+        (f"<article><h2 id='related-work'>Related</h2><h2 id='search-algorithms'>Search</h2><p id='notice-3'>{PROSE}</p>"
+         "</article>", f"Related\nSearch\n{PROSE}"),
+        (f"<article><p>{PROSE}</p><section id='related-work'><p>{PROSE * 9}</p></section></article>",
+         f"{PROSE}\n{PROSE * 9}"),
+        (f"<article><p>{PROSE}</p><div class=related>{PROSE}</div><p class=notice>Moved</p></article>", PROSE),
+    ],
+)
+def test_labels_are_a_weight(page, text):
+    assert main_text(page) == text
