@@ -52,6 +52,8 @@ OTHERS = frozenset(
 )
 # Words before a label that say it is elsewhere, absent or a topic.
 MODIFIERS = frozenset("category has have hide hides no non not tag topic with without".split())
+# Elements that hold texts which belong together.
+HOLDERS = frozenset("article center details div fieldset main section td th".split())
 # Elements whose id is an anchor for links, not a label.
 ANCHORED = frozenset("blockquote dd dt h1 h2 h3 h4 h5 h6 p pre".split())
 #: Elements that hold the article where a page names one.
@@ -88,8 +90,8 @@ MARK = re.compile(r"""\b(class|id|role|hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|(
 
 #: Lines summed to one line block.
 WINDOW = 3
-#: A line block under this share of the page's largest one is outside the article.
-SURGE = 0.2
+#: The article surges where a line block weighs this much, or this share of the page's largest one if that is less.
+TEXT, SURGE = 120, 0.2
 #: The parts (one in so many) of their length that links in an article, and text outside one that the page names, weigh.
 LINKED, OUTSIDE = 4, 4
 #: The part (one in so many) that text in a labelled element weighs.
@@ -250,9 +252,12 @@ class Line(NamedTuple):
     label: int
     #: How many labelled elements it lies in.
     labels: int
+    #: The number of the element that holds it, -1 for the body.
+    holder: int
 
 
-def lines_of(page: str) -> list[Line]:
+def lines_of(page: str) -> tuple[list[Line], dict[int, tuple[int, int]]]:
+    """The lines, and between which two each holder begins and ends."""
     lines: list[Line] = []
     parts: list[str] = []
     linked = 0
@@ -261,10 +266,12 @@ def lines_of(page: str) -> list[Line]:
     # Open furniture and labelled elements, outermost first: the number, and whether articles in it are others' too.
     skipped: list[tuple[int, bool]] = []
     labelled: list[tuple[int, bool]] = []
+    holders: list[tuple[int, int]] = []
+    spans: dict[int, tuple[int, int]] = {}
 
     def add(text: str) -> None:
         within = articles[0] if articles else -1, labelled[-1][0] if labelled else -1, len(labelled)
-        lines.append(Line(text, min(len(text), linked), *within))
+        lines.append(Line(text, min(len(text), linked), *within, holders[-1][0] if holders else -1))
 
     def end() -> None:
         nonlocal linked
@@ -309,6 +316,10 @@ def lines_of(page: str) -> list[Line]:
         if name in BLOCKS:
             end()
             anchors = 0
+        if name in HOLDERS and kind == "open":
+            holders.append((number, len(lines)))
+        elif holders and number == holders[-1][0] and kind == "close":
+            spans[number] = holders.pop()[1], len(lines)
         if name in ARTICLE:
             if kind == "open" and not labelled:
                 articles.append(number)
@@ -317,7 +328,35 @@ def lines_of(page: str) -> list[Line]:
         elif name == "a" and kind != "empty":
             anchors = kind == "open"
     end()
-    return lines
+    return lines, spans
+
+
+def connected(lines: list[Line], weights: list[float], spans: dict[int, tuple[int, int]]) -> list[list[int]]:
+    """Runs of lines with weight, each of one article and labelled element, between two dives.
+
+    Outside articles a line with text and no weight is a dive. So is a gap,
+    except between lines of one holder or where the holder on one side has the
+    line on the other side, too. Inside an article neither ends a run.
+    """
+    runs: list[list[int]] = []
+    # Of each article and label: the run that is open, its holders, and where the last of them ends.
+    open_: dict[tuple[int, int], tuple[list[int], set[int], int]] = {}
+    for i, (line, weight) in enumerate(zip(lines, weights, strict=True)):
+        region = line.article, line.label
+        if weight <= 0:
+            if line.text and line.article < 0:
+                open_.pop(region, None)
+            continue
+        first, stop = spans.get(line.holder, (len(lines), 0))
+        run, holders, reach = open_.get(region, ([], set(), 0))
+        near = run and (run[-1] + 1 == i or line.holder in holders or i < reach or first <= run[-1])
+        if not near and not (run and line.article >= 0):
+            run, holders, reach = [], set(), 0
+            runs.append(run)
+        run.append(i)
+        holders.add(line.holder)
+        open_[region] = run, holders, max(reach, stop)
+    return runs
 
 
 def main_text(page: str | None) -> str:
@@ -325,14 +364,14 @@ def main_text(page: str | None) -> str:
 
     A line weighs as much as its text outside links; a line that is mostly
     links weighs nothing. The article surges where a line block reaches
-    ``SURGE`` of the largest one, and dives at the next line without weight.
-    Where a page names its article, that is a weight: links inside weigh a
-    ``LINKED`` of their text, and text outside an ``OUTSIDE``. A label makes
-    text weigh a ``LABELLED``. A line block does not reach across the border of
-    an article or labelled element, and inside an article the text extends from
-    a surge to both sides.
+    ``TEXT``, or on pages of short lines ``SURGE`` of the largest block, and
+    extends to both sides up to the next dive (see ``connected``). Where a page
+    names its article, that is a weight: links inside weigh a ``LINKED`` of
+    their text, and text outside an ``OUTSIDE``. A label makes text weigh a
+    ``LABELLED``. A line block does not reach across the border of an article
+    or labelled element.
     """
-    lines = lines_of(page or "")
+    lines, spans = lines_of(page or "")
     named = any(line.article >= 0 for line in lines)
     weights: list[float] = []
     for line in lines:
@@ -349,17 +388,9 @@ def main_text(page: str | None) -> str:
         sum(w for w, r in zip(weights[i : i + WINDOW], regions[i : i + WINDOW], strict=True) if r == regions[i])
         for i in range(len(weights))
     ]
-    least = max(1.0, SURGE * max(blocks, default=0))
-    surging = {r for r, block in zip(regions, blocks, strict=True) if r[0] >= 0 and block >= least}
-    kept: list[str] = []
-    surged = False
-    before = (-1, -1)
-    for line, weight, block, region in zip(lines, weights, blocks, regions, strict=True):
-        surged = weight > 0 and (surged and region == before or block >= least or region in surging)
-        before = region
-        if surged:
-            kept.append(line.text)
-    return "\n".join(kept)
+    least = max(1.0, min(TEXT, SURGE * max(blocks, default=0)))
+    kept = [i for run in connected(lines, weights, spans) if any(blocks[i] >= least for i in run) for i in run]
+    return "\n".join(lines[i].text for i in sorted(kept))
 
 
 def extracted(

@@ -126,3 +126,22 @@ def test_end_tags_may_be_left_out(page, text):
 )
 def test_labels_are_a_weight(page, text):
     assert main_text(page) == text
+
+
+LEAD, LONG = "A lead of some length. " * 9, "A very long paragraph. " * 220
+NAV = "<ul><li><a href=x>Home page</a><li><a href=y>All other pages</a></ul>"
+
+
+@pytest.mark.parametrize(
+    ("page", "lines"),
+    [
+        (f"<h1>Title</h1><p>{LEAD}</p><div class=ad>Buy</div><p>{LONG}</p>", ["Title", LEAD, LONG]),
+        (f"<div><p>{LONG}</p><aside>x</aside><p>Short.</p><div class=ad>Buy</div><p>End.</p></div>{NAV}<div>Imprint</div>",
+         [LONG, "Short.", "End."]),
+        (f"{NAV}<div><div><p>Lead.</p></div><div class=ad>Buy</div><p>More.</p><aside>x</aside><p>One.</p><p>Two.</p>"
+         f"<p>{LONG}</p></div>{NAV}<div>Imprint</div>", ["Lead.", "More.", "One.", "Two.", LONG]),
+        (f"<p>{LONG}</p><div class=ad>Buy</div><div>All rights reserved</div>", [LONG]),
+    ],
+)
+def test_a_long_paragraph_hides_no_others(page, lines):
+    assert main_text(page).split("\n") == [" ".join(line.split()) for line in lines]
