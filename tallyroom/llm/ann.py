@@ -269,13 +269,22 @@ class Shard:
         owners = np.frombuffer(row["owners"], "<i4")
         self.ids = np.frombuffer(row["ids"], "<i8")
         self.start = np.searchsorted(owners, np.arange(n + 1))
+        self.sorted_ids = np.sort(self.ids)
 
     def nearest(self, ids: np.ndarray, queries: np.ndarray, k: int, ef: int) -> tuple[np.ndarray, ...]:
         """``(query id, vec_id, score)`` of each query's ``k`` nearest found, not its own id; scores in double."""
+        own = np.searchsorted(self.sorted_ids, ids, "right") - np.searchsorted(self.sorted_ids, ids)
+        # Own rows are found first, perhaps; a query with many of them looks further.
+        many = own + k > ef
+        if many.any() and not many.all():
+            parts = [self.nearest(ids[m], queries[m], k, ef) for m in (many, ~many)]
+            return tuple(np.concatenate(p) for p in zip(*parts, strict=True))
+        most = k + int(own.max(initial=0))
+        ef = max(ef, most)
         scale = np.abs(queries).max(1, keepdims=True)
         lifted = np.c_[queries / scale, np.zeros(len(queries))].astype(np.float32)
         found, _ = self.graph.search(lifted, ef)
-        found = found[:, : k + 1]
+        found = found[:, :most]
         query, column = np.nonzero(found >= 0)
         node = found[query, column]
         score = (queries[query] * self.vectors[node]).sum(1)

@@ -55,20 +55,25 @@ class Cells:
         return cell, np.sqrt(((x - self.pivots[cell]) ** 2).sum(1))
 
 
-def bounds(cells: Cells, reach: np.ndarray, nearest: list[list[float]], k: int) -> tuple[np.ndarray, np.ndarray]:
+def bounds(
+    cells: Cells, reach: np.ndarray, nearest: list[list[tuple[float, int]]], k: int
+) -> tuple[np.ndarray, np.ndarray]:
     """For each cell with queries (rows) and each cell (columns): the distances to the pivot that can matter.
 
     ``reach`` is the largest distance of a cell's queries to its pivot, below
     zero without queries; ``nearest`` has each cell's smallest distances of
-    vectors to its pivot. One neighbour more than ``k`` is bounded, as the
-    query's own row may be one.
+    vectors to its pivot, one for an id. Neighbours of one id more than ``k``
+    are bounded, as the query's own rows, however many, may be one.
     """
     count = len(reach)
     low, high = np.full((count, count), np.inf), np.full((count, count), -np.inf)
     cell = np.repeat(np.arange(count), [len(n) for n in nearest])
-    near = np.array([d for n in nearest for d in n])
+    near = np.array([d for n in nearest for d, _ in n])
+    _, id_ = np.unique(np.array([i for n in nearest for _, i in n], np.int64), return_inverse=True)
     for i in np.flatnonzero(reach >= 0):
-        far = np.sort(reach[i] + cells.apart[i][cell] + near)
+        of_id = np.full(id_.max(initial=-1) + 1, np.inf)
+        np.minimum.at(of_id, id_, reach[i] + cells.apart[i][cell] + near)
+        far = np.sort(of_id)
         worst = far[k] if len(far) > k else np.inf
         slack = 1e-6 * (1 + reach[i] + cells.apart[i].max() + (worst if np.isfinite(worst) else 0))
         low[i] = cells.apart[i] - reach[i] - worst - slack
@@ -95,16 +100,15 @@ class Best:
 
     def add(self, ids: np.ndarray, data: np.ndarray) -> None:
         scores = exact_scores(self.vectors, data)
+        hit = self.ids[:, None] != ids
         if len(ids) > self.k:
-            # All that reach a query's k-th score here (one more, for its own row), ties included.
-            kth = np.partition(scores, -(self.k + 1), axis=1)[:, -(self.k + 1)]
-            hit = scores >= np.maximum(kth, self.least)[:, None]
-        else:
-            hit = np.ones(scores.shape, bool)
-        query, place = np.nonzero(hit & (self.ids[:, None] != ids))
+            # All that reach a query's k-th score here, its own rows left out, ties included.
+            kth = np.partition(np.where(hit, scores, -LARGEST - 1), -self.k, axis=1)[:, -self.k]
+            hit &= scores >= np.maximum(kth, self.least)[:, None]
+        query, place = np.nonzero(hit)
         query = np.r_[self.query, query]
         found = np.r_[self.found, ids[place]]
-        score = np.r_[self.score, scores[hit & (self.ids[:, None] != ids)]]
+        score = np.r_[self.score, scores[hit]]
         # By query, then the score from the highest (~ turns the order without overflow), then the id.
         order = np.lexsort((found, ~score, query))
         query, found, score = query[order], found[order], score[order]
@@ -172,12 +176,12 @@ def _of_length(rows: DataFrame, dim: int, k: int) -> DataFrame:
     schema = "vec_id long, vector array<long>, cell int, away double, cell_q int, away_q double"
     placed = stored(rows.select("vec_id", "vector", "is_query").mapInArrow(assign, schema), "topk-cells")
 
-    # Summaries: k + 1 numbers per cell, and one per cell of queries.
+    # Summaries: k + 1 numbers per cell, of different ids, and one per cell of queries.
     order = Window.partitionBy("cell").orderBy("away", "vec_id")
-    closest = placed.select("cell", "away", "vec_id").withColumn("n", F.row_number().over(order))
-    nearest: list[list[float]] = [[] for _ in pivots]
+    closest = placed.groupBy("cell", "vec_id").agg(F.min("away").alias("away")).withColumn("n", F.row_number().over(order))
+    nearest: list[list[tuple[float, int]]] = [[] for _ in pivots]
     for r in closest.filter(F.col("n") <= k + 1).collect():
-        nearest[r.cell].append(r.away)
+        nearest[r.cell].append((r.away, r.vec_id))
     reach, asking = np.full(len(pivots), -1.0), np.zeros(len(pivots), np.int64)
     for r in placed.filter("cell_q >= 0").groupBy("cell_q").agg(F.max("away_q").alias("u"), F.count("*").alias("n")).collect():
         reach[r.cell_q], asking[r.cell_q] = r.u, r.n

@@ -92,3 +92,12 @@ def test_large_components_do_not_overflow():
     x = np.random.default_rng(1).normal(size=(50, 3)) * 1e200
     ids, _ = ann.build(x).search(np.c_[x / 1e200, np.zeros(50)].astype(np.float32), 10)
     assert (ids[:, 0] >= 0).all()
+
+
+def test_own_rows_push_out_no_neighbours(spark):
+    rng = np.random.default_rng(5)
+    rows = [(50, v.tolist()) for v in rng.normal(size=(90, 4)) * 0.1 + 9]
+    rows += [(51 + i, v.tolist()) for i, v in enumerate(rng.normal(size=(30, 4)))]
+    data = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = ann.nearest(data, F.col("vec_id") == 50, k=5).collect()
+    assert len(got) == 5 and all(r.vec_id != 50 for r in got)

@@ -73,3 +73,14 @@ def test_edges(spark):
 def test_scores_that_leave_the_long_range_are_held():
     big = np.array([[2**62, 2**62]])
     assert topk.exact_scores(big, big)[0, 0] == topk.LARGEST
+
+
+def test_own_rows_push_out_no_neighbours(spark, monkeypatch):
+    """A query's id with many vectors that lie nearest to it, in one cell and in several."""
+    monkeypatch.setattr(topk, "PER_PIVOT", 20)
+    rng = np.random.default_rng(5)
+    own = [(50, v) for v in (rng.normal(size=(40, 3)) * 0.1 + 9).tolist()]
+    check(spark, own + [(1000 + 2 * i + 1, v) for i, v in enumerate(rng.normal(size=(120, 3)).tolist())])
+    best = topk.Best(np.array([50]), np.array([[1, 0]]), 2)
+    best.add(np.array([50, 50, 50, 50, 1, 2, 3]), np.array([[9, 0], [8, 0], [7, 0], [6, 0], [3, 0], [2, 0], [1, 0]]))
+    assert best.found.tolist() == [1, 2]
