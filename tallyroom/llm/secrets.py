@@ -51,9 +51,19 @@ COMMON = (
 ROWS = ("1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./")
 # Characters that stand for letters.
 LEET = str.maketrans("4@8(30!1$5+7", "aabceoiisstt")
-DATE = re.compile(
-    r"(?:19|20)\d\d|\d{1,2}([-/._])\d{1,2}\1(?:\d\d){1,2}|(?:19|20)\d\d([-/._])\d{1,2}\2\d{1,2}"
-    r"|(?:0[1-9]|[12]\d|3[01])(?:0[1-9]|1[0-2])(?:19|20)?\d\d|(?:19|20)\d\d(?:0[1-9]|1[0-2])(?:0[1-9]|[12]\d|3[01])"
+YEAR = r"(?:19|20)\d\d"
+#: Ways to write a date: a year; parts in three orders, between equal separators or none.
+DATES = tuple(
+    re.compile(p, re.A)
+    for p in (
+        YEAR,
+        rf"(?P<y>{YEAR})([-/._])(?P<m>\d\d?)\2(?P<d>\d\d?)(?!\d)",
+        rf"(?P<d>\d\d?)([-/._])(?P<m>\d\d?)\2(?P<y>{YEAR})",
+        r"(?P<d>\d\d?)([-/._])(?P<m>\d\d?)\2(?P<y>\d\d)",
+        rf"(?P<y>{YEAR})(?P<m>\d\d)(?P<d>\d\d)",
+        rf"(?P<d>\d\d)(?P<m>\d\d)(?P<y>{YEAR})",
+        r"(?P<d>\d\d)(?P<m>\d\d)(?P<y>\d\d)",
+    )
 )
 
 #: Guesses, as a power of ten, from which a value counts as a secret.
@@ -64,8 +74,9 @@ LEAST = 6
 BRUTE, DAY, PART = 1.0, math.log10(365 * 119), 0.5
 #: The longest unit that counts as a repeat.
 UNIT = 16
-#: A word is known if it makes up this share of all words, so at most 50,000 words are.
-KNOWN_SHARE = 1 / 50_000
+#: A word is known if it makes up this share of the words of all documents, each counted once a document, so at most
+#: 50,000 words are; and if it is in several documents, lest the words of one make themselves cheap.
+KNOWN_SHARE, KNOWN_DOCUMENTS = 1 / 50_000, 3
 
 
 def neighbours() -> dict[str, str]:
@@ -80,6 +91,18 @@ def neighbours() -> dict[str, str]:
 NEAR = neighbours()
 
 
+def date_ends(value: str, start: int) -> set[int]:
+    """Where the dates that begin at ``start`` end; day and month, in either order, must exist."""
+    ends = set()
+    for pattern in DATES:
+        if m := pattern.match(value, start):
+            parts = m.groupdict()
+            first, second = sorted((int(parts.get("d", 1)), int(parts.get("m", 1))))
+            if first >= 1 and first <= 12 and second <= 31:
+                ends.add(m.end())
+    return ends
+
+
 def guess_cost(value: str, ranks: dict[str, int], longest: int) -> float:
     """The power of ten of the guesses that the cheapest segmentation of ``value`` takes.
 
@@ -99,10 +122,7 @@ def guess_cost(value: str, ranks: dict[str, int], longest: int) -> float:
     for u, run in same.items():
         for i in range(n - u - 1, -1, -1):
             run[i] = run[i + 1] + 1 if value[i] == value[i + u] else 0
-    dates: dict[int, list[int]] = {}
-    for i in range(n):
-        if value[i].isdigit() and (m := DATE.match(value, i)):
-            dates.setdefault(i, []).append(m.end())
+    dates = {i: date_ends(value, i) for i in range(n) if "0" <= value[i] <= "9"}
 
     infinite = math.inf
     best = [infinite] * (n + 1)  # value[:i], ending with any part
@@ -182,16 +202,22 @@ def redacted(text: str, spans: list[tuple[int, int, int]]) -> str:
 
 
 def vocabulary(docs: DataFrame, text: str = "text") -> dict[str, int]:
-    """Ranks of the words that make up ``KNOWN_SHARE`` or more of all words of all documents.
+    """Ranks of the words in ``KNOWN_SHARE`` or more of all pairs of a word and a document.
 
-    Their number is bounded by that share, whatever the corpus.
+    Their number is bounded by that share, whatever the corpus. Values in a
+    credential context and access keys do not count: a secret must not make
+    itself a known word, however often it is repeated.
     """
-    words = docs.select(F.explode(F.split(F.lower(F.col(f"`{text}`")), r"[^\p{L}]+")).alias("word"))
+    plain = F.col(f"`{text}`")
+    for pattern in (f"(?i){CONTEXT.pattern}", ACCESS.pattern, HEX.pattern):
+        plain = F.regexp_replace(plain, pattern, " ")
+    split = F.split(F.lower(plain), r"[^\p{L}]+")
+    words = docs.select(F.explode(F.array_distinct(split)).alias("word"))
     counts = stored(
         words.groupBy("word").agg(F.count("*").alias("n")).filter("length(word) >= 3"), "words"
     )
     total = counts.agg(F.sum("n")).first()[0] or 0
-    frequent = counts.filter(F.col("n") >= total * KNOWN_SHARE)
+    frequent = counts.filter(F.col("n") >= max(total * KNOWN_SHARE, KNOWN_DOCUMENTS))
     ordered = sorted(frequent.collect(), key=lambda r: (-r.n, r.word))
     ranks = {w: i for i, w in enumerate(COMMON, 1)}
     for i, row in enumerate(ordered, 1):

@@ -71,7 +71,8 @@ def test_secrets_are_taken_out(spark):
         "doc_id long, text string, n_chars long, spans string",
     )
     rows = {r.doc_id: r for r in secrets.without_secrets(docs).collect()}
-    assert rows[0].text == "é中 [secret] end" and rows[0].n_chars == len(rows[0].text)
+    # A base span ends before the closing quote.
+    assert rows[0].text == 'é中 [secret]" end' and rows[0].n_chars == len(rows[0].text)
     assert rows[1].text == TEXTS[1] and rows[None].text is None
     assert rows[0].asDict().keys() == {"doc_id", "text", "n_chars", "spans"} and rows[0].spans == "x"
 
@@ -87,6 +88,32 @@ def test_patterns_are_cheaper_to_guess(cheap, dear):
     assert secrets.guess_cost(cheap, RANKS, LONGEST) < secrets.guess_cost(dear, RANKS, LONGEST)
 
 
+@pytest.mark.parametrize(
+    ("value", "ends"),
+    [
+        ("1987-06-05", {4, 10}), ("19870605", {4, 8}), ("05/06/1987", {8, 10}), ("31.12.99", {8}), ("12.31.99", {8}),
+        ("31.13.99", set()), ("00-06-1987", set()), ("8197-60-50", set()), ("1987-06.05", {4}), ("25122001", {6, 8}),
+        ("2001-2-300", {4}),
+    ],
+)
+def test_dates_end_where_a_day_exists(value, ends):
+    assert secrets.date_ends(value, 0) == ends
+
+
+def test_a_secret_of_letters_is_no_known_word(spark):
+    """Beside three or 3,000 plain documents, once or in many of them."""
+    value = "XkvQmLpZtrWsdfHg"
+    for plain, times in ((3, 1), (3000, 1), (3000, 400)):
+        rows = [(i, f"some plain words of text number {i % 7}") for i in range(plain)]
+        rows += [(-i, f"pwd: {value} here") for i in range(1, times + 1)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        found = {r.doc_id: r.spans for r in secrets.scanned(docs).collect()}
+        assert all(found[-i] == "guess:5:21" for i in range(1, times + 1))
+        assert not any(s for i, s in found.items() if i >= 0)
+        ranks = secrets.vocabulary(docs)
+        assert value.lower() not in ranks and "plain" in ranks
+
+
 def test_words_and_brute_force_take_the_cheapest_cut():
     ranks = {"abc": 1, "cde": 5, "abcd": 50, "def": 3}
 
