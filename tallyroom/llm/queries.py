@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyroom.llm import (
-    ann, centroids, html_text, licenses, mixing, packing, quality, secrets, simhash, substrings, topk, turns,
+    ann, centroids, html_text, licenses, mixing, packing, private, quality, secrets, simhash, substrings, topk, turns,
 )
 from tallyroom.llm.common import table
 
@@ -58,6 +58,10 @@ def op11_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turns.Repair(turns.damaged(conversations)).conversations(everyone=conversations)
 
 
+def op12_private(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return private.scanned(table(spark, sf_dir, "documents"))
+
+
 def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = centroids.clustered(table(spark, sf_dir, "embeddings"), k=8, rounds=10, width=64, scale=1024, seed="3")
     return centroids.reported(found)
@@ -66,7 +70,7 @@ def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_ann, op2_simhash, op3_mixing, op4_licenses, op5_html_text, op6_secrets, op7_quality, op8_topk, op9_packing,
-        op10_substrings, op11_turns, op13_centroids,
+        op10_substrings, op11_turns, op12_private, op13_centroids,
     )
     return {f.__name__: f for f in found}
 
