@@ -424,8 +424,13 @@ def learnt(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> Model:
         return lambda texts: {"pieces": [windows(t or "") for t in texts]}
 
     column = F.col(f"`{text}`")
-    open_ = docs.filter(column.rlike("[0-9@]"))
-    found = map_texts(open_.select(column.alias("text")), [], [F.col("text")], "pieces array<string>", make)
+    open_ = docs.filter(column.rlike("[0-9@]")).select(column.alias("text"))
+    # About twice as many texts as are wanted have a hash this low; their copies count once. So what any task sends,
+    # and what the driver gets, does not grow with the corpus.
+    space = 1 << 53
+    low = min(space, 2 * sample * space // max(1, open_.count()))
+    few = open_.filter(F.pmod(F.xxhash64("text"), F.lit(space)) < low).distinct()
+    found = map_texts(few, [], [F.col("text")], "pieces array<string>", make)
     order = F.xxhash64("pieces")
     chosen = found.filter("size(pieces) > 0").distinct().orderBy(order, "pieces").limit(sample).collect()
     return fitted([list(r.pieces) for r in chosen])
