@@ -10,6 +10,8 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -209,8 +211,10 @@ def vocabulary(docs: DataFrame, text: str = "text") -> dict[str, int]:
     itself a known word, however often it is repeated.
     """
     plain = F.col(f"`{text}`")
-    for pattern in (f"(?i){CONTEXT.pattern}", ACCESS.pattern, HEX.pattern):
-        plain = F.regexp_replace(plain, pattern, " ")
+    # Searched for only where there can be one: a context needs one of two signs.
+    for pattern, signs in ((f"(?i){CONTEXT.pattern}", (":", "=")), (ACCESS.pattern, ("AKIA",))):
+        sign = reduce(or_, [F.contains(F.col(f"`{text}`"), F.lit(s)) for s in signs])
+        plain = F.when(sign, F.regexp_replace(plain, pattern, " ")).otherwise(plain)
     split = F.split(F.lower(plain), r"[^\p{L}]+")
     words = docs.select(F.explode(F.array_distinct(split)).alias("word"))
     counts = stored(
