@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import math
 import random
+import re
 from decimal import Decimal
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from tallyroom.operators import percentile
 from tallyroom.operators.percentile import exact_percentiles
 
 SHARES = [0.01, 0.25, 0.5, 0.99, 1.0]
@@ -90,21 +92,42 @@ def test_other_types_are_refused(spark):
 
 
 def test_no_task_grows_with_the_data(spark):
-    """Twenty times the distinct values: the largest shuffle partition read stays within the bound."""
+    """Twenty times the distinct values: only counts of a hundredth of them are dealt out, and no window grows with them."""
     bits = 6
-    for rows in (2_000, 40_000):
+    for rows in (4_000, 80_000):
         df = spark.range(rows, numPartitions=4).selectExpr("cast(xxhash64(id) as double) as x")
         result = exact_percentiles(df, {"p": ("x", 0.5)}, bits)
         result.collect()
         plan = result._jdf.queryExecution().executedPlan()
-        assert "Sort" not in plan.toString() or "rangepartitioning" not in plan.toString()
-        read = [int(n) for n in _exchanged_rows(plan)]
-        # Every exchange moves at most 2 ** bits counts per task and pass.
-        assert read and max(read) <= 4 * 2**bits
-
-
-def _exchanged_rows(plan) -> list[int]:
-    """Rows written by each exchange of a plan that has run."""
+        assert "rangepartitioning" not in plan.toString()
+        exchanged = _exchanged_rows(plan)
+        by_entry = [n for keys, n in exchanged if keys == ["entry"]]
+        by_value = [n for keys, n in exchanged if "d" in keys]
+        # A window of all bins, and one of the values of a bin.
+        assert len(by_entry) == 2 and max(by_entry) <= 2 ** (bits + 2)
+        assert len(by_value) == 1 and by_value[0] <= 0.013 * rows + 64
+        assert all(n <= 2 ** (bits + 2) for keys, n in exchanged if "d" not in keys)
+
+
+def test_the_table_is_read_twice(spark, tmp_path):
+    spark.range(5000).selectExpr("id % 977 as x", "cast(id as double) / 7 as y").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    result = exact_percentiles(df, {"a": ("x", 0.99), "b": ("y", 0.01), "c": ("y", 0.5), "d": ("y", 0.99)})
+    assert tuple(result.collect()[0]) == (966, 49 / 7, 2499 / 7, 4949 / 7)
+    plan = result._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan") + plan.count("Scan parquet") <= 2
+
+
+def test_a_missed_rank_is_an_error(spark, monkeypatch):
+    """Brackets beside the rank, as a broken sketch would give them."""
+    monkeypatch.setattr(percentile, "ASIDE", -0.2)
+    df = spark.range(1000).selectExpr("cast(id as double) as x")
+    with pytest.raises(Exception, match="misses the rank"):
+        exact_percentiles(df, {"p": ("x", 0.5)}).collect()
+
+
+def _exchanged_rows(plan) -> list[tuple[list[str], int]]:
+    """Columns and rows written of each hash exchange of a plan that has run."""
     found, nodes = [], [plan]
     while nodes:
         node = nodes.pop()
@@ -114,8 +137,9 @@ def _exchanged_rows(plan) -> list[int]:
             nodes.append(node.plan())
         if node.nodeName() == "Exchange":
             metric = node.metrics().get("shuffleRecordsWritten")
-            if metric.isDefined():
-                found.append(metric.get().value())
+            keys = re.search(r"hashpartitioning\((.*?), \d+\)", node.simpleString(1000))
+            if metric.isDefined() and keys:
+                found.append((re.findall(r"(\w+)#", keys[1]), int(metric.get().value())))
         children = node.children()
         nodes += [children.apply(i) for i in range(children.size())]
     return found
