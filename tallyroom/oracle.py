@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping
+from itertools import combinations
 
 from tallyroom.sources.tables import TABLES
 from tallyroom.sources.view_sql import VIEW_SQL, in_duckdb
@@ -501,7 +502,51 @@ def _sales() -> dict[str, str]:
     }
 
 
+# Columns by table, and which hold whole numbers (w) or texts (t), for the searches over the driver's tables.
+_SEARCHED = {
+    "region": "r_regionkey:w r_name:t",
+    "nation": "n_nationkey:w n_name:t n_regionkey:w",
+    "customer": "c_custkey:w c_name:t c_nationkey:w c_mktsegment:t",
+    "supplier": "s_suppkey:w s_name:t s_nationkey:w",
+    "part": "p_partkey:w p_name:t p_brand:t p_type:t p_size:w",
+    "orders": "o_orderkey:w o_custkey:w o_orderstatus:t o_orderpriority:t",
+    "lineitem": "l_orderkey:w l_partkey:w l_suppkey:w l_linenumber:w l_returnflag:t l_linestatus:t",
+}
+_LINE_COLUMNS = (
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+    "l_returnflag", "l_linestatus", "l_shipdate",
+)
+
+
+def _catalogue() -> dict[str, str]:
+    sets = [s for n in (1, 2, 3) for s in combinations(_LINE_COLUMNS, n)]
+    unique = " union all ".join(
+        f"select {list(s)} as cols where (select count(*) = count(distinct ({', '.join(s)}, 0)) from lineitem "
+        f"where {' and '.join(f'{c} is not null' for c in s)}) "
+        f"and not exists (select 1 from lineitem where {' or '.join(f'{c} is null' for c in s)})"
+        for s in sets
+    )
+    held = [(t, *c.split(":")) for t, columns in _SEARCHED.items() for c in columns.split()]
+    key = "(select count({c}) = count(*) and count(distinct {c}) = count(*) from {t})"
+    within = " union all ".join(
+        f"select '{t}' as table_name, '{c}' as column_name, '{kt}' as key_table, '{kc}' as key_column, "
+        f"{str(c.split('_', 1)[1] == kc.split('_', 1)[1]).lower()} as same_name "
+        f"where {key.format(c=kc, t=kt)} and exists (select 1 from {t} where {c} is not null) "
+        f"and not exists (select {c} from {t} where {c} is not null except select {kc} from {kt})"
+        for t, c, kind in held
+        for kt, kc, other in held
+        if kind == other and (t, c) != (kt, kc)
+    )
+    return {
+        "cat_keys_lineitem": f"""
+            with found as ({unique})
+            select 'lineitem' as table_name, array_to_string(cols, ',') as key_columns from found a
+            where not exists (select 1 from found b where len(b.cols) < len(a.cols) and list_has_all(a.cols, b.cols))""",
+        "cat_references": within,
+    }
+
+
 def oracle_sql(views: Mapping[str, str] = VIEW_SQL) -> dict[str, str]:
     """SQL by key; with no ``views`` it reads tables of the views' names."""
-    bodies = {**_telecom(), **_realty(), **_game(), **_sales()}
+    bodies = {**_telecom(), **_realty(), **_game(), **_sales(), **_catalogue()}
     return {key: with_steps(sql, views) for key, sql in bodies.items()}

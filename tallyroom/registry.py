@@ -13,12 +13,16 @@ from pyspark.sql import functions as F
 
 from tallyroom.functions.numbers import rounded
 from tallyroom.functions.text import snake_case_columns
-from tallyroom.operators import profile
+from tallyroom.operators import keys, profile
 from tallyroom.plans import game, game_sales, realty, telecom
-from tallyroom.session import scratch_path
-from tallyroom.sources.game_sales import read_games_csv, with_file_header, write_games_csv
+from tallyroom.session import remove_at_exit, scratch_path
+from tallyroom.sources.csv_file import read_csv
+from tallyroom.sources.game_sales import with_file_header, write_games_csv
 from tallyroom.sources.tables import Views, table, table_names
 
+#: The tables among which references are looked for.
+REFERRING = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -145,11 +149,12 @@ def _game() -> dict[str, Callable[[Views], DataFrame]]:
 
 
 def load_through_csv(v: Views) -> DataFrame:
-    """The sales table written as CSV to the shared folder and loaded from it, rows numbered by their place."""
+    """The sales table written as CSV to the shared folder and loaded from it, types inferred, rows numbered by place."""
     games = v.raw_games
     path = scratch_path(games.sparkSession, "games-csv")
     write_games_csv(with_file_header(games), path)
-    return read_games_csv(games.sparkSession, path, position="row_id")
+    remove_at_exit(games.sparkSession, path)
+    return read_csv(games.sparkSession, path, position="row_id")
 
 
 def top_platforms_of_file(v: Views) -> DataFrame:
@@ -207,4 +212,8 @@ def queries() -> dict[str, Query]:
         "cat_tables": lambda spark, sf_dir: profile.row_counts(
             {name: table(spark, sf_dir, name) for name in table_names(spark, sf_dir)}
         ),
+        "cat_keys_lineitem": lambda spark, sf_dir: keys.unique_sets(table(spark, sf_dir, "lineitem"), "lineitem"),
+        "cat_references": lambda spark, sf_dir: keys.references(
+            {name: table(spark, sf_dir, name) for name in REFERRING}
+        ),
     }

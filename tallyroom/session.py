@@ -68,3 +68,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
             raise ValueError(f"name a folder that all executors share in spark.checkpoint.dir ({master})")
         shared = _local_folder()
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_at_exit(spark: SparkSession, path: str) -> None:
+    """Delete a written folder when the program ends, wherever Spark keeps it; a stopped session leaves it to the cluster."""
+
+    def remove() -> None:
+        try:
+            place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+        except Exception:  # noqa: BLE001  the gateway may be gone by then
+            return
+
+    atexit.register(remove)

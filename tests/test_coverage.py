@@ -6,13 +6,13 @@ import re
 from pathlib import Path
 
 from tallyroom.functions import text
-from tallyroom.operators import profile
+from tallyroom.operators import keys, profile
 from tallyroom.plans import game, game_sales, realty, telecom
 from tallyroom.registry import queries
 from tallyroom.sources.game_sales import read_games_csv
 
 MODULES = {
-    "game": game, "game_sales": game_sales, "profile": profile, "realty": realty,
+    "game": game, "game_sales": game_sales, "keys": keys, "profile": profile, "realty": realty,
     "telecom": telecom, "text": text,
 }
 
