@@ -14,7 +14,6 @@ from tokenizers import Tokenizer
 from tallyroom.llm import packing
 
 REAL = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-REAL.encode_special_tokens = True
 
 
 def ids_of(text):
@@ -91,3 +90,10 @@ def test_two_pieces_replace_a_small_one():
     # Greedy takes 6 and 3 and leaves a gap of 1; 2 and 2 instead of 3 fill it.
     bins = packing.best_two_fit([6, 3, 2, 2], 10)
     assert sorted(bins[0]) == [0, 2, 3]
+
+
+def test_strings_of_added_tokens_are_those_tokens():
+    end = "<|endoftext|>"
+    encoder = packing.Encoder()
+    for text in (end, f"{end}a b", f"a b{end}", f"a {end} b", f"a{end}{end}b  c", f" {end} ", f"<|endoftext|{end}|>", "<|endof text|>"):
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == REAL.encode(text, add_special_tokens=False).ids, text

@@ -18,7 +18,6 @@ import corpus_pipeline
 from tallyroom.llm import mixing, quality, secrets
 
 REAL = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-REAL.encode_special_tokens = True
 
 
 def plain(spark, folder):
