@@ -82,8 +82,8 @@ def column_catalogue(df: DataFrame, table_name: str) -> DataFrame:
     Parquet declares no constraints, so a column counts as a key when it has no
     NULL and no repeated value. One pass first rules out the columns that have
     a NULL, or whole numbers or days in a range smaller than the table, which
-    must repeat; the driver receives one flag per column. Only the columns left
-    are read again, in one shuffle of (column, value) counts.
+    must repeat. Only the columns left are counted, in one shuffle of (column,
+    value) counts. Nothing runs before the result is asked for.
     """
     # By position: a name may hold a dot.
     place = {f.name: i for i, f in enumerate(df.schema.fields)}
@@ -95,25 +95,31 @@ def column_catalogue(df: DataFrame, table_name: str) -> DataFrame:
             # An empty table has no span, and every column of it is a key.
             roomy = F.col(f"span_{place[field.name]}") >= F.col("rows")
             possible = possible & F.coalesce(roomy, F.lit(True))
-        return [F.lit(field.name).alias("name"), possible.alias("possible")]
+        return [
+            F.lit(table_name).alias("table_name"), F.lit(field.name).alias("column_name"),
+            F.lit(field.dataType.simpleString()).alias("data_type"), possible.alias("possible"),
+        ]
 
-    possible = {r.name: r.possible for r in _per_column(df, row, **spans).collect()}
-    listed = df.sparkSession.createDataFrame(
-        [(table_name, f.name, f.dataType.simpleString(), possible[f.name]) for f in df.schema],
-        "table_name string, column_name string, data_type string, is_key boolean",
-    )
-    left = [name for name in df.columns if possible[name]]
-    if not left:
-        return listed
+    listed = _per_column(df, row, **spans)
+    flags = listed.agg(F.collect_set(F.when(F.col("possible"), F.col("column_name"))).alias("left")).scalar()
+    pairs = [
+        F.when(
+            F.array_contains("left", F.lit(c)),
+            F.struct(F.lit(c).alias("column_name"), F.col(f"v{i}").alias("value")),
+        )
+        for c, i in place.items()
+    ]
+    values = df.select(*[F.col(f"`{c}`").cast("string").alias(f"v{i}") for c, i in place.items()], flags.alias("left"))
     repeats = (
-        _as_texts(df, left)
+        values.select(F.inline(F.array(*pairs)))
+        .filter(F.col("column_name").isNotNull())
         .groupBy("column_name", "value")
         .agg(F.count("*").alias("n"))
         .groupBy("column_name")
         .agg((F.max("n") == 1).alias("unique"))
     )
     return listed.join(repeats, "column_name", "left").select(
-        "table_name", "column_name", "data_type", F.coalesce("unique", "is_key").alias("is_key")
+        "table_name", "column_name", "data_type", F.coalesce("unique", "possible").alias("is_key")
     )
 
 

@@ -86,6 +86,17 @@ def test_no_column_can_be_a_key(spark):
     assert [r.is_key for r in profile.column_catalogue(df, "t").collect()] == [False, False]
 
 
+def test_listing_the_columns_runs_no_job_before_it_is_asked_for(spark):
+    context = spark.sparkContext
+    df = spark.createDataFrame(CATALOGUE, SCHEMA)
+    context.setJobGroup("catalogue", "plans only")
+    try:
+        profile.column_catalogue(df, "some")
+        assert len(context.statusTracker().getJobIdsForGroup("catalogue")) == 0
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_every_column_of_an_empty_table_is_a_key(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert all(r.is_key for r in profile.column_catalogue(df, "t").collect())
