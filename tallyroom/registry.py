@@ -17,7 +17,7 @@ from tallyroom.operators import keys, profile
 from tallyroom.plans import game, game_sales, realty, telecom
 from tallyroom.session import remove_at_exit, scratch_path
 from tallyroom.sources.csv_file import read_csv
-from tallyroom.sources.game_sales import with_file_header, write_games_csv
+from tallyroom.sources.game_sales import HEADER, with_file_header, write_games_csv
 from tallyroom.sources.tables import Views, table, table_names
 
 #: The tables among which references are looked for.
@@ -149,12 +149,15 @@ def _game() -> dict[str, Callable[[Views], DataFrame]]:
 
 
 def load_through_csv(v: Views) -> DataFrame:
-    """The sales table written as CSV to the shared folder and loaded from it, types inferred, rows numbered by place."""
+    """The sales table written as CSV to the shared folder and loaded from it, rows numbered by place.
+
+    Types are stated: what a file without rows, or with odd ones, would have inferred may differ.
+    """
     games = v.raw_games
     path = scratch_path(games.sparkSession, "games-csv")
     write_games_csv(with_file_header(games), path)
     remove_at_exit(games.sparkSession, path)
-    return read_csv(games.sparkSession, path, position="row_id")
+    return read_csv(games.sparkSession, path, types=HEADER, position="row_id")
 
 
 def top_platforms_of_file(v: Views) -> DataFrame:
