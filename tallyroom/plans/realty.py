@@ -1,11 +1,12 @@
 """Listing analysis: outlier trim, market segments, seasonality, city ranking.
 
 ``id`` is the key of flats and of advertisements (at most one each). The reports
-take the flats already trimmed, so several of them share one search for limits:
+take the flats already trimmed. Stored, they are searched for limits once,
+however many reports follow:
 
-    kept = trimmed(flats)
-    segment_report(kept, city, ads)
-    seasonality(kept, ads)
+    with stored_relation(trimmed(flats), "kept-flats") as kept:
+        segment_report(kept, city, ads)
+        seasonality(kept, ads)
 """
 
 from __future__ import annotations
@@ -129,12 +130,27 @@ def seasonality(kept: DataFrame, ads: DataFrame) -> DataFrame:
 
     Listings are counted once per pair of publication and removal
     month, at most 13 x 13 groups; months, ranks and means follow from those.
+    Flats with one id count as one listing in the first four and as one joined
+    row each in ``transactions_count`` and the means.
     """
-    price_per_area = F.col("last_price") / F.col("total_area")
+    area, price = F.col("total_area"), F.col("last_price")
     published = F.month("first_day_exposition")
     removed = F.month(plus_days(F.col("first_day_exposition"), F.col("days_exposition")))
+    # One row per id meets the advertisements: flats that share an id add to the
+    # prices, as joined rows do, but an advertisement is listed once.
+    per_id = kept.groupBy("id").agg(
+        F.count("*").alias("joined"),
+        F.min("total_area").alias("least_area"),
+        F.sum("total_area").alias("areas"),
+        F.count("total_area").alias("flats"),
+        F.sum(F.try_divide(F.lit(1.0), area)).alias("per_area"),
+        F.count(F.try_divide(F.lit(1.0), area)).alias("priced"),
+    )
+    per_area = F.when(F.col("joined") == 1, F.try_divide(price, F.col("least_area"))).otherwise(
+        price * F.col("per_area")
+    )
     pairs = (
-        ads.join(kept.select("id", "total_area"), "id")
+        ads.join(per_id, "id")
         .groupBy(
             published.alias("published"),
             removed.alias("removed"),
@@ -142,13 +158,14 @@ def seasonality(kept: DataFrame, ads: DataFrame) -> DataFrame:
         )
         .agg(
             F.count("*").alias("n"),
-            F.sum(price_per_area).alias("price_sum"),
-            F.count(price_per_area).alias("price_n"),
-            F.sum("total_area").alias("area_sum"),
-            F.count("total_area").alias("area_n"),
+            F.sum("joined").alias("joined"),
+            F.sum(per_area).alias("price_sum"),
+            F.sum(F.when(price.isNotNull(), F.col("priced")).otherwise(0)).alias("price_n"),
+            F.sum("areas").alias("area_sum"),
+            F.sum("flats").alias("area_n"),
         )
     )
-    sums = ["price_sum", "price_n", "area_sum", "area_n"]
+    sums = ["joined", "price_sum", "price_n", "area_sum", "area_n"]
     as_published = F.struct(
         F.col("published").alias("month"), F.col("n").alias("publications"),
         F.lit(0).cast("long").alias("removals"), *[F.col(s) for s in sums],
@@ -186,7 +203,7 @@ def seasonality(kept: DataFrame, ads: DataFrame) -> DataFrame:
                 "avg_price_per_sqm"
             ),
             F.when(known, rounded(F.try_divide("area_sum", "area_n"), 2)).alias("avg_total_area"),
-            F.when(known, F.col("publications")).alias("transactions_count"),
+            F.when(known, F.col("joined")).alias("transactions_count"),
         )
         .orderBy(F.col("publication_month").asc_nulls_last())
     )

@@ -6,6 +6,9 @@ and tariffs, whose key is ``tariff_name``.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,6 +16,7 @@ from tallyroom.functions.dates import month_start
 from tallyroom.functions.numbers import ratio, rounded
 from tallyroom.operators.profile import any_null
 from tallyroom.operators.repeat import repeat_rows
+from tallyroom.sources.relations import bucketed_relation
 
 USER_COLUMNS = (
     "user_id", "age", "churn_date", "city", "first_name", "last_name", "reg_date", "tariff",
@@ -174,7 +178,7 @@ def with_cost(overage: DataFrame) -> DataFrame:
     )
 
 
-def _held(users: DataFrame) -> DataFrame:
+def tariffs_held(users: DataFrame) -> DataFrame:
     """How many rows, and active rows, each user has per tariff."""
     return users.groupBy("user_id", "tariff").agg(
         F.count("*").alias("rows"),
@@ -182,6 +186,28 @@ def _held(users: DataFrame) -> DataFrame:
     )
 
 
+@contextmanager
+def bucketed_by_user(
+    stats: DataFrame, users: DataFrame, buckets: int
+) -> Iterator[tuple[DataFrame, DataFrame]]:
+    """User-months and tariffs held, stored by user: T14 to T17 then join without a shuffle.
+
+    Both are combined already, at most one row per user and month or tariff,
+    so no bucket fills up with the rows of one busy user. The reports take the
+    second table in place of the users.
+    """
+    with (
+        bucketed_relation(stats, "user_months", ["user_id"], buckets) as months,
+        bucketed_relation(tariffs_held(users), "tariffs_held", ["user_id"], buckets) as held,
+    ):
+        yield months, held
+
+
+def _held(users: DataFrame) -> DataFrame:
+    """Tariffs held: counted from the users, unless the counts are given."""
+    return users if {"rows", "active"} <= set(users.columns) else tariffs_held(users)
+
+
 def _with_tariffs_held(stats: DataFrame, users: DataFrame) -> DataFrame:
     """User-months by every row of the user; unknown users keep their months.
 

@@ -70,13 +70,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a written folder, wherever Spark keeps it."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def remove_at_exit(spark: SparkSession, path: str) -> None:
-    """Delete a written folder when the program ends, wherever Spark keeps it; a stopped session leaves it to the cluster."""
+    """Delete a written folder when the program ends; a stopped session leaves it to the cluster."""
 
     def remove() -> None:
         try:
-            place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+            remove_path(spark, path)
         except Exception:  # noqa: BLE001  the gateway may be gone by then
             return
 

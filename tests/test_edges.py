@@ -60,3 +60,13 @@ def test_row_order_does_not_matter(spark, key):
 def test_empty_tables(spark, key):
     tables = {name: [] for name in random_tables(1)}
     assert not differences(ANALYSES[key](in_spark(spark, tables)), in_duckdb(tables), SQL[key])
+
+
+def test_flats_that_share_an_id_are_one_listing(spark):
+    """Listings and removals count advertisements; prices and their number count joined rows."""
+    tables = random_tables(4)
+    flats = tables["re_flats"]
+    again = [(i, city, area + 1 if area else area, *rest) for i, city, area, *rest in flats[:120]]
+    tables["re_flats"] = [*flats, *again, *again[:40]]
+    frames, con = in_spark(spark, tables), in_duckdb(tables)
+    assert not differences(ANALYSES["re_seasonality"](frames), con, SQL["re_seasonality"])

@@ -90,6 +90,22 @@ def test_counts_below_one_and_null_count_as_one(spark):
     assert counts == {0: 1, 1: 1, 2: 1, 3: 2}
 
 
+def test_only_rows_with_many_copies_are_shuffled(spark, small_splits):
+    """Rows needed up to ``chunk`` times stay where they are, and what lies below is run once."""
+    df = spark.range(10_000).select((F.col("id") % 5000).alias("i"))
+    df = df.withColumn("t", F.col("i") % 7)
+    df = df.groupBy("i").agg(F.max("t").alias("t")).unionByName(
+        spark.createDataFrame([(-1, 2500), (-2, 1001)], "i long, t long")
+    )
+    got = repeat_rows(df, F.col("t"))
+    got.collect()
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    plan = plan[: plan.index("Initial Plan")]
+    assert "ReusedExchange" in plan
+    counts = {r.i: r["count"] for r in got.groupBy("i").count().collect()}
+    assert counts == {**{i: max(1, i % 7) for i in range(5000)}, -1: 2500, -2: 1001}
+
+
 def test_copies_of_one_row_spread_over_the_tasks(spark):
     df = spark.createDataFrame([(0, 100_000), *[(i, 10) for i in range(1, 200)]], "i int, t int")
     tasks = repeat_rows(df, F.col("t")).groupBy(F.spark_partition_id()).count().collect()
