@@ -101,6 +101,28 @@ def test_equal_keys_and_null_keys(spark):
     assert sorted(r.n_removed for r in got if r.doc_id is None) == [len(text), len(text)]
 
 
+@pytest.mark.parametrize("clash", [False, True], ids=["keys tell texts", "a key with two texts"])
+def test_a_row_repeated_many_times(spark, clash):
+    """The copies of a row have the result and the list of spans of one."""
+    rng = random.Random(11)
+    prose = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage = prose(40)
+    rows = [(1, prose(60) + passage + prose(9)), (7, prose(30) + passage + prose(50) + passage), (9, prose(80))]
+    rows += [(None, prose(20) + passage), (None, passage + prose(30))] + ([(9, passage)] if clash else [])
+    check(spark, [r for r in rows if r[0] is not None], 16, 6)
+    docs = [spark.createDataFrame(r, "doc_id long, text string") for r in (rows, rows + [rows[1]] * 300)]
+    once, often = (substrings.deduplicated(d.repartition(6), length=16, gram=6).collect() for d in docs)
+    assert sorted(map(str, set(once))) == sorted(map(str, set(often))) and len(often) == len(once) + 300
+    assert all(r.n_removed for r in once if r.doc_id is None)
+    lists = []
+    for d in docs:
+        texts = d.selectExpr("doc_id as doc", "xxhash64(text) as print", "cast(text as binary) as text").filter("doc = 7")
+        earlier = d.selectExpr("0L as doc", "0L as print", f"cast('{passage}' as binary) as text").limit(1)
+        found = substrings.gathered(substrings.spans(texts.union(earlier), 16, 6)).filter("doc = 7").first()
+        lists.append(sorted(map(tuple, found.spans)))
+    assert lists[0] == lists[1]
+
+
 letters = st.lists(st.integers(0, 3), max_size=120) | st.lists(st.integers(0, 3000), max_size=60)
 
 
