@@ -16,12 +16,11 @@ LETTERS = 1024
 
 def rising(text: np.ndarray) -> np.ndarray:
     """Per position, whether its suffix is smaller than the next one; the last is not."""
-    n = len(text)
     differs = np.r_[text[1:] != text[:-1], True]
     up = np.r_[text[:-1] < text[1:], False]
     # Within a run of one letter the type is that of the run's end.
     ends = np.flatnonzero(differs)
-    return up[ends[np.searchsorted(ends, np.arange(n))]]
+    return np.repeat(up[ends], np.diff(np.r_[-1, ends]))
 
 
 def _induce(text: np.ndarray, up: np.ndarray, lms: np.ndarray, letters: int) -> np.ndarray:
@@ -98,7 +97,8 @@ def _by_doubling(text: np.ndarray) -> np.ndarray:
         suffix = order[tied]
         after = suffix + length
         second = np.where(after < n, rank[np.minimum(after, n - 1)], -1)
-        sort = np.lexsort((second, group[tied]))
+        # Both in one number; what is equal in both stays tied, in any order.
+        sort = np.argsort(group[tied] * (n + 1) + second + 1)
         order[tied] = suffix[sort]
         a, b = group[tied], second[sort]
         new = np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])]
@@ -115,6 +115,8 @@ def suffix_order(text: np.ndarray) -> np.ndarray:
     letters = int(text.max()) + 1
     if letters > LETTERS:
         return _by_doubling(text)
+    # Narrow letters are sorted by counting.
+    text = text.astype(np.int16)
     up = rising(text)
     lms = np.flatnonzero(up[1:] & ~up[:-1]) + 1
     order = _induce(text, up, lms, letters)
@@ -148,28 +150,51 @@ def suffix_order(text: np.ndarray) -> np.ndarray:
     return _induce(text, up, lms, letters)
 
 
+def packed(text: np.ndarray) -> tuple[np.ndarray, int, int]:
+    """Per position the letters from it on in one number, the first one highest; how many, and the bits of each.
+
+    Past the end stand zeros.
+    """
+    bits = max(1, int(text.max()).bit_length())
+    each = 63 // bits
+    padded = np.r_[text.astype(np.int64), np.zeros(each, np.int64)]
+    words = np.zeros(len(text), np.int64)
+    for i in range(each):
+        words <<= bits
+        words |= padded[i : i + len(text)]
+    return words, each, bits
+
+
 def permuted_prefixes(text: np.ndarray, order: np.ndarray, most: int) -> np.ndarray:
     """Per position, how many letters (up to ``most``) its suffix shares with the one before it in order.
 
     Taken in text order, a value is at most one less than the one before. So
-    every ``most``-th value is compared letter by letter, and the others in
-    between start from what is known.
+    every sixteenth value is compared from the start, and the others in
+    between go on from what is known, several letters at a time.
     """
     n = len(text)
+    shared = np.zeros(n, np.int64)
+    if not n:
+        return shared
+    words, each, bits = packed(text)
     before = np.full(n, -1, np.int64)
     before[order[1:]] = order[:-1]
-    shared = np.zeros(n, np.int64)
     stride = max(1, min(most, 16))
     for lane in range(stride):
         at = np.arange(lane, n, stride)
         known = np.maximum(shared[at - 1] - 1, 0) if lane else np.zeros(len(at), np.int64)
-        known[before[at] < 0] = 0
-        live = np.flatnonzero(before[at] >= 0)
+        other = before[at]
+        # Nothing is shared past an end, or with nothing.
+        limit = np.where(other < 0, 0, np.minimum(n - np.maximum(at, other), most))
+        live = np.flatnonzero(known < limit)
         while len(live):
-            i, j = at[live] + known[live], before[at[live]] + known[live]
-            live = live[(known[live] < most) & (i < n) & (j < n)]
-            i, j = at[live] + known[live], before[at[live]] + known[live]
-            live = live[text[i] == text[j]]
-            known[live] += 1
-        shared[at] = known
+            differ = words[at[live] + known[live]] ^ words[other[live] + known[live]]
+            same = differ == 0
+            known[live[same]] += each
+            ended, differ = live[~same], differ[~same]
+            for i in range(1, each):
+                known[ended] += differ >> bits * i == 0
+            live = live[same]
+            live = live[known[live] < limit[live]]
+        shared[at] = np.minimum(known, limit)
     return shared

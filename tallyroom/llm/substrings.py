@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,12 +27,14 @@ from tallyroom.llm.induced import permuted_prefixes, suffix_order
 
 LENGTH = 100
 GRAM = 24
-#: Bytes of texts hashed together.
-CHUNK = 4 << 20
+#: Bytes of texts hashed together: with eight bytes each they stay in the processor's cache.
+CHUNK = 128 << 10
 #: Snippets of a shard, about, and most of an anchor that goes to one; beyond, its strings are settled by hashes.
 SHARD, HOT = 8192, 16_384
 NULL_KEY = 2**63 - 1
 
+#: The bits of a hash that choose an anchor; the others hold a place.
+HIGH = np.uint64(2**64 - 2**31)
 ODD = np.uint64(0x9E3779B97F4A7C15)
 MIX = np.uint64(0xD6E8FEB86659FD93)
 
@@ -52,6 +55,14 @@ def _powers(base: int, n: int) -> np.ndarray:
     return out
 
 
+_chunk_powers = lru_cache(maxsize=2)(lambda base: _powers(base, CHUNK + 1))
+
+
+def _first_powers(base: int, n: int) -> np.ndarray:
+    """As ``_powers``; those for a chunk are kept."""
+    return _chunk_powers(base)[: max(1, n)] if n <= CHUNK + 1 else _powers(base, n)
+
+
 class Hashes:
     """Hashes of any range of a byte array, from running sums of a polynomial."""
 
@@ -59,10 +70,10 @@ class Hashes:
 
     def __init__(self, data: np.ndarray) -> None:
         n = len(data)
-        self.back = _powers(_inverse(int(ODD)), n + 1)
+        self.back = _first_powers(_inverse(int(ODD)), n + 1)
         self.sums = np.empty(n + 1, np.uint64)
         self.sums[0] = 0
-        np.cumsum(self.letters[data] * _powers(int(ODD), n), out=self.sums[1:])
+        np.cumsum(self.letters[data] * _first_powers(int(ODD), n + 1)[:n], out=self.sums[1:])
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return self._mixed((self.sums[end] - self.sums[start]) * self.back[start])
@@ -92,58 +103,38 @@ def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
 def anchors(data: np.ndarray, ends: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
     """Anchor key, position, and first and last start of its strings, for texts that lie end to end in ``data``.
 
-    A string's anchor is its lowest-hashing gram, the leftmost of equals, so it
-    follows from the string alone. Strings do not cross the ``ends`` of texts.
+    A string's anchor is its lowest-hashing gram by the ``HIGH`` bits of the
+    hash, the leftmost of equals, so it follows from the string alone; the key
+    is the whole hash. Strings do not cross the ``ends`` of texts.
     """
     empty = np.empty(0, np.int64)
     if len(data) < length:
         return np.empty(0, np.uint64), empty, empty, empty, None
     hashes = Hashes(data)
     grams = hashes.grams(gram)
-    width = length - gram + 1
-    least = sliding_least(grams, width)
+    # Below the high bits of a hash stands its place, so the least of a window tells where it is.
+    least = sliding_least(grams & HIGH | np.arange(len(grams), dtype=np.uint64), length - gram + 1)
+    anchor = (least & ~HIGH).view(np.int64)
     starts = np.r_[0, ends[:-1]]
-    valid = np.zeros(len(least) + 1, np.int32)
     long = ends - starts >= length
-    np.add.at(valid, starts[long], 1)
-    np.add.at(valid, ends[long] - length + 1, -1)
-    valid = np.cumsum(valid[:-1]) > 0
-    # Runs of strings with the same lowest hash.
-    first_of_text = np.zeros(len(least), bool)
-    first_of_text[starts[long]] = True
-    change = valid & np.r_[True, (least[1:] != least[:-1]) | ~valid[:-1]] | first_of_text
-    run = np.flatnonzero(change)
-    stop = np.flatnonzero(valid & np.r_[change[1:] | ~valid[1:], True])
-    # A lower hash than before has just come in on the right; else look for it.
-    came = run + width - 1
-    entered = grams[came] == least[run]
-    before = np.r_[np.iinfo(np.uint64).max, least[:-1]][run]
-    entered &= (least[run] < before) & ~first_of_text[run] & np.r_[False, valid[:-1]][run]
-    place = came.copy()
-    seek = np.flatnonzero(~entered)
-    for a in range(0, len(seek), 65536):
-        part = run[seek[a : a + 65536]]
-        place[seek[a : a + 65536]] = part + grams[part[:, None] + np.arange(width)].argmin(1)
-    # A run that outlasts its anchor goes on with the next equal hash.
-    more = [[], [], [], []]
-    for i in np.flatnonzero(stop > place).tolist():
-        equal = np.flatnonzero(grams[run[i] : stop[i] + width] == least[run[i]]) + run[i]
-        lows = np.r_[run[i], equal[:-1] + 1]
-        keep = lows <= stop[i]
-        equal, lows = equal[keep], lows[keep]
-        highs = np.minimum(equal, stop[i])
-        for out, values in zip(more, (np.full(len(equal), least[run[i]]), equal, lows, highs), strict=True):
-            out.append(values)
-    single = stop <= place
-    parts = (least[run], place, run, stop)
-    key, place, low, high = (
-        np.concatenate([p[single], *m]) if m else p[single] for p, m in zip(parts, more, strict=True)
-    )
-    return key, place, low, high, hashes
+    # Where the strings of one text with one anchor begin and end.
+    change = np.zeros(len(anchor) + 1, bool)
+    np.not_equal(anchor[1:], anchor[:-1], out=change[1:-1])
+    change[starts[long]] = True
+    change[ends[long] - length + 1] = True
+    edges = np.r_[np.flatnonzero(change), len(anchor)]
+    low, high = edges[:-1], edges[1:] - 1
+    # A string that crosses an end starts after the last one of its text.
+    inside = low <= ends[np.searchsorted(ends, low, side="right")] - length
+    low, high = low[inside], high[inside]
+    place = anchor[low]
+    return grams[place], place, low, high, hashes
 
 
 def _chunks(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
+        if not batch.num_rows:
+            continue
         sizes = np.diff(np.frombuffer(batch.column(column).buffers()[1], np.int32)[batch.column(column).offset :][: batch.num_rows + 1])
         start = total = 0
         for i, size in enumerate(sizes.tolist()):
@@ -155,6 +146,11 @@ def _chunks(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.Recor
             yield batch.slice(start)
 
 
+def keep_freed_memory() -> None:
+    """Free one large block untouched: glibc then keeps what arrays free for the next ones, instead of giving it back."""
+    np.empty(24 << 20, np.uint8)
+
+
 def _end_to_end(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a binary column and the end of each value."""
     offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
@@ -172,6 +168,7 @@ def anchored(texts: DataFrame, length: int, gram: int) -> DataFrame:
     """The anchors of ``texts (doc, print, text)``: key, a hash of the snippet, and where its strings start."""
 
     def run(batches):
+        keep_freed_memory()
         for batch in _chunks(batches, 2):
             data, ends = _end_to_end(batch.column(2))
             key, place, low, high, hashes = anchors(data, ends, length, gram)
@@ -194,11 +191,24 @@ def anchored(texts: DataFrame, length: int, gram: int) -> DataFrame:
     return texts.mapInArrow(run, ANCHOR)
 
 
+def anchor_keys(texts: DataFrame, length: int, gram: int) -> DataFrame:
+    """``key`` of each anchor of ``texts (doc, print, text)``."""
+
+    def run(batches):
+        keep_freed_memory()
+        for batch in _chunks(batches, 2):
+            key = anchors(*_end_to_end(batch.column(2)), length, gram)[0]
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64))], names=["key"])
+
+    return texts.mapInArrow(run, "key long")
+
+
 def hot_strings(texts: DataFrame, keys: list[int], length: int, gram: int) -> DataFrame:
     """``doc, print, key, low, strings``: per snippet of the anchors ``keys`` the hashes of its strings."""
     hot = np.array(keys, np.int64)
 
     def run(batches):
+        keep_freed_memory()
         for batch in _chunks(batches, 2):
             data, ends = _end_to_end(batch.column(2))
             key, _, low, high, hashes = anchors(data, ends, length, gram)
@@ -298,6 +308,7 @@ def _settle(snippets: DataFrame, parts: int, length: int) -> DataFrame:
     names = ["doc", "print", "begin", "end"]
 
     def make():
+        keep_freed_memory()
         got: list[pa.RecordBatch] = []
 
         def each(unit, batch):
@@ -325,10 +336,10 @@ def _settle(snippets: DataFrame, parts: int, length: int) -> DataFrame:
 def spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """``doc, print, begin, end``: bytes of ``texts (doc, print, text)`` in strings that also start earlier."""
     # The anchors are found twice rather than kept: they take as much room as the texts.
-    found = anchored(texts, length, gram)
-    keys = stored(found.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key"), "repeated-keys")
+    keys = anchor_keys(texts, length, gram).groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
+    keys = stored(keys, "repeated-keys")
     place = F.col("place")
-    again = found.join(keys, "key", "left_semi").select(
+    again = anchored(texts, length, gram).join(keys, "key", "left_semi").select(
         "doc",
         "print",
         "key",
@@ -364,17 +375,25 @@ def spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame
 
     def cut(batches):
         """The bytes of each snippet."""
-        for batch in batches:
-            rows = []
-            for doc, print_, text, wanted_ in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                for w in wanted_:
-                    low, strings = w["low"], w["strings"]
-                    rows.append((w["key"] % shards, w["key"], doc, print_, low, text[low : low + strings - 1 + length]))
-            for a in range(0, len(rows), 8192):
-                columns = zip(*rows[a : a + 8192], strict=True)
-                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
-                arrays = [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays(arrays, names=["unit", "key", "doc", "print", "low", "bytes"])
+        for batch in _chunks(batches, 2):
+            data, ends = _end_to_end(batch.column(2))
+            rows = np.repeat(np.arange(batch.num_rows), batch.column(3).value_lengths().to_numpy())
+            key, low, strings = (c.to_numpy() for c in batch.column(3).flatten().flatten())
+            size = strings.astype(np.int64) - 1 + length
+            offsets = np.r_[0, np.cumsum(size)]
+            begin = np.r_[0, ends[:-1]][rows] + low
+            cut_out = data[np.arange(offsets[-1]) + np.repeat(begin - offsets[:-1], size)]
+            buffers = [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(cut_out)]
+            rows = pa.array(rows)
+            arrays = [
+                pa.array(key % shards),
+                pa.array(key),
+                batch.column(0).take(rows),
+                batch.column(1).take(rows),
+                pa.array(low),
+                pa.Array.from_buffers(pa.binary(), len(key), buffers),
+            ]
+            yield pa.RecordBatch.from_arrays(arrays, names=["unit", "key", "doc", "print", "low", "bytes"])
 
     asked = texts.join(wanted, ["doc", "print"]).select("doc", "print", "text", "wanted").dropDuplicates(["doc", "print"])
     snippets = asked.mapInArrow(cut, "unit long, key long, doc long, print long, low int, bytes binary")
@@ -387,6 +406,17 @@ def gathered(removed: DataFrame) -> DataFrame:
     return removed.groupBy("doc", "print").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
 
 
+def merged(begin: np.ndarray, end: np.ndarray, count: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the unions of spans begin and end, ``count`` spans in each of the texts that lie end to end."""
+    text = np.repeat(np.arange(len(ends)), count)
+    base = np.r_[0, ends[:-1]][text]
+    sort = np.argsort(begin + base, kind="stable")
+    text, begin, reach = text[sort], (begin + base)[sort], np.maximum.accumulate((end + base)[sort])
+    # Spans of one text that touch are one; those of two texts are not.
+    apart = (begin[1:] > reach[:-1]) | (text[1:] != text[:-1])
+    return begin[np.r_[True, apart][: len(begin)]], reach[np.r_[apart, True][: len(begin)]]
+
+
 def _keys_tell_texts(docs: DataFrame, key: str, body: Column) -> bool:
     """Whether no key but null has two different texts; one number per key moves."""
     prints = docs.select(F.col(f"`{key}`").alias("key"), F.xxhash64(body).alias("print")).filter("key is not null")
@@ -429,29 +459,23 @@ def deduplicated(
     rows = rows.select("key", "text", "spans.begin", "spans.end")
 
     def take_out(batches):
-        for batch in batches:
-            out = []
-            for body_, begin, end in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
-                n_spans = removed_ = 0
-                digest = hashlib.sha256()
-                place = 0
-                run_end = -1
-                for a, b in sorted(zip(begin or (), end or (), strict=True)):
-                    if a > run_end:
-                        n_spans += 1
-                        digest.update(body_[place:a])
-                        removed_ += b - a
-                        place = run_end = b
-                    elif b > run_end:
-                        removed_ += b - run_end
-                        place = run_end = b
-                digest.update(body_[place:])
-                out.append((len(body_), removed_, n_spans, digest.hexdigest()))
-            if out:
-                columns = [pa.array(c) for c in zip(*out, strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), *columns], names=["key", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
-                )
+        for batch in _chunks(batches, 1):
+            data, ends = _end_to_end(batch.column(1))
+            begin, end = batch.column(2), batch.column(3)
+            count = begin.value_lengths().fill_null(0).to_numpy()
+            first, last = merged(begin.flatten().to_numpy(), end.flatten().to_numpy(), count, ends)
+            n_bytes = np.diff(np.r_[0, ends])
+            # The unions of a text begin before its end.
+            upto = np.r_[0, np.searchsorted(first, ends)]
+            n_removed = np.diff(np.r_[0, np.cumsum(last - first)][upto])
+            step = np.zeros(len(data) + 1, np.int8)
+            step[first] += 1
+            step[last] -= 1
+            kept = data[np.cumsum(step[:-1], dtype=np.int8) == 0]
+            stops = np.cumsum(n_bytes - n_removed).tolist()
+            digests = [hashlib.sha256(kept[a:b]).hexdigest() for a, b in zip([0, *stops], stops, strict=False)]
+            columns = [batch.column(0), *map(pa.array, (n_bytes, n_removed, np.diff(upto), digests))]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     done = rows.mapInArrow(take_out, f"key {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     return done.withColumnRenamed("key", key)

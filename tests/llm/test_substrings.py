@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -123,6 +125,52 @@ def test_a_row_repeated_many_times(spark, clash):
     assert lists[0] == lists[1]
 
 
+def test_a_text_longer_than_a_chunk(spark):
+    """Strings of a long text, hashed alone, meet those of short texts, hashed together."""
+    rng = random.Random(5)
+    prose = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    long = prose(2 * substrings.CHUNK + 9)
+    rows = [(2, long), (5, prose(70) + long[150_000:150_300] + prose(30)), (1, long[-200:]), (3, "")]
+    check(spark, rows, 100, 24)
+
+
+def test_anchors_are_found_in_parts_that_fit_a_cache():
+    """Eight bytes for each of a batch of texts, several times over, fall out of the cache: that took twice the time."""
+    rng = np.random.default_rng(2)
+    texts = [rng.integers(32, 122, 3000).astype(np.uint8).tobytes() for _ in range(1400)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)))] * 2 + [pa.array(texts)], names=["doc", "print", "text"])
+    tracemalloc.start()
+    for part in substrings._chunks(iter([batch]), 2):
+        substrings.anchors(*substrings._end_to_end(part.column(2)), 100, 24)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 16 << 20
+
+
+def test_the_first_pass_sends_only_keys(spark):
+    docs = documents(spark).selectExpr("doc_id as doc", "0L as print", "cast(coalesce(text, '') as binary) as text")
+    keys = substrings.anchor_keys(docs, 100, 24)
+    assert keys.columns == ["key"]
+    every = substrings.anchored(docs, 100, 24).select("key")
+    assert sorted(r.key for r in keys.collect()) == sorted(r.key for r in every.collect())
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 30), st.lists(st.tuples(st.integers(0, 29), st.integers(0, 29)), max_size=5)), max_size=6))
+def test_merged_spans_cover_what_the_spans_do(texts):
+    sizes = [n for n, _ in texts]
+    spans = [[(min(a, b) % n, min(a, b) % n + 1 + (max(a, b) % (n - min(a, b) % n))) for a, b in s] for n, s in texts]
+    gone = [[any(a <= i < b for a, b in s) for i in range(n)] for n, s in zip(sizes, spans, strict=True)]
+    begin, end = (np.array([x[k] for s in spans for x in s], np.int64) for k in (0, 1))
+    first, last = substrings.merged(begin, end, np.array([len(s) for s in spans], np.int64), np.cumsum(sizes).astype(np.int64))
+    at, expected = 0, []
+    for g in gone:
+        edges = np.flatnonzero(np.diff(np.r_[False, g, False].astype(int)))
+        expected += [(at + a, at + b) for a, b in edges.reshape(-1, 2).tolist()]
+        at += len(g)
+    assert list(zip(first.tolist(), last.tolist(), strict=True)) == expected
+
+
 letters = st.lists(st.integers(0, 3), max_size=120) | st.lists(st.integers(0, 3000), max_size=60)
 
 
